@@ -98,6 +98,7 @@ def key_defects() -> list[Defect]:
             "referential_integrity",
         ),
         Defect("region", hit(109, 7), F.lit(""), "null_sentinel"),
+        Defect("income_group", hit(113, 9), F.lit(""), "null_sentinel"),
         Defect("year", solo & hit(59, 8), F.concat(F.lit("FY"), text("year")), "type_drift"),
         Defect("year", solo & hit(67, 9), F.concat(text("year"), F.lit(".0")), "type_drift"),
         Defect("year", hit(131, 10), F.lit("1899"), "out_of_range"),
@@ -209,6 +210,33 @@ class Inputs:
             with_copies, hit(991, 6), "raw_record_id", ORPHAN_OFFSET, orphans, of=dirty
         ).select("raw_record_id", *fixed.SOURCE_COLUMNS)
 
+    @cached_property
+    def documented_fixes(self) -> DataFrame:
+        """Known true values of some defects, keyed by code, year, column and raw value."""
+        lone = self.panel_text.where("solo")
+
+        def fixes(column: str, issue: str, wrong: str, where: Column) -> DataFrame:
+            return lone.where(where).select(
+                "country_code",
+                "year",
+                F.lit(column).alias("column_name"),
+                F.lit(issue).alias("issue_type"),
+                F.lit(wrong).alias("original_value"),
+                F.col(column).alias("cleaned_value"),
+            )
+
+        life = fixes("life_expectancy", fixed.LIFE_DECIMAL, "187.4", hit(157, 15))
+        return life.unionByName(fixes("gdp_usd", fixed.GDP_UNIT, "NULL", ~hit(137, 11) & hit(139, 12)))
+
+    @cached_property
+    def record_fixes(self) -> DataFrame:
+        """Known true populations, keyed by record id."""
+        return self.panel_text.where(hit(149, 13)).select(
+            "raw_record_id",
+            F.lit(fixed.POPULATION_SCALE).alias("issue_type"),
+            F.col("population").alias("cleaned_value"),
+        )
+
     @cached_property
     def panel_typed(self) -> DataFrame:
         """Typed panel, one row per (customer, year), with a constant group and NULL cells."""
@@ -301,7 +329,8 @@ SELECT k, raw_record_id,
   CASE WHEN solo AND k % 61 = 3 THEN 'WLD' WHEN k % 101 = 4 THEN ' ' || country_code || ' '
        WHEN k % 103 = 5 THEN lower(country_code)
        WHEN solo AND k % 53 = 6 AND k % 223 <> 2 THEN 'X' || country_code ELSE country_code END AS country_code,
-  CASE WHEN k % 109 = 7 THEN '' ELSE region END AS region, income_group,
+  CASE WHEN k % 109 = 7 THEN '' ELSE region END AS region,
+  CASE WHEN k % 113 = 9 THEN '' ELSE income_group END AS income_group,
   CASE WHEN solo AND k % 59 = 8 THEN 'FY' || yr_txt WHEN solo AND k % 67 = 9 THEN yr_txt || '.0'
        WHEN k % 131 = 10 THEN '1899' ELSE yr_txt END AS "year",
   CASE WHEN k % 137 = 11 THEN '$' || gdp_usd WHEN k % 139 = 12 THEN 'NULL' ELSE gdp_usd END AS gdp_usd,
@@ -324,6 +353,16 @@ SELECT * EXCLUDE (k) REPLACE (raw_record_id + 1000000000 AS raw_record_id) FROM
 UNION ALL
 SELECT * EXCLUDE (k) REPLACE (raw_record_id + 2000000000 AS raw_record_id, 'IRN' AS country_code,
                               'Orphan' AS country_name) FROM panel_dirty WHERE k % 991 = 6""",
+    "fixes": """
+SELECT country_code, yr_txt AS "year", 'life_expectancy' AS column_name,
+       'life_expectancy_decimal_corrected' AS issue_type, '187.4' AS original_value, life_expectancy AS cleaned_value
+FROM panel_text WHERE solo AND k % 157 = 15
+UNION ALL
+SELECT country_code, yr_txt, 'gdp_usd', 'gdp_unit_corrected', 'NULL', gdp_usd
+FROM panel_text WHERE solo AND k % 137 <> 11 AND k % 139 = 12""",
+    "record_fixes": """
+SELECT raw_record_id, 'population_scale_corrected' AS issue_type, population AS cleaned_value
+FROM panel_text WHERE k % 149 = 13""",
     "panel_typed": """
 SELECT d.country_name, d.country_code, d.region, d.income_group, f.yr AS "year",
        CASE WHEN f.custkey % 397 <> 0 THEN f.gdp_usd END AS gdp_usd, f.population, f.life_expectancy,
@@ -359,6 +398,8 @@ NEEDS = {
     "panel_text": ["order_facts", "panel_dim"],
     "panel_dirty": ["panel_text"],
     "panel_raw": ["panel_dirty"],
+    "fixes": ["panel_text"],
+    "record_fixes": ["panel_text"],
     "panel_typed": ["order_facts", "panel_dim"],
     "staging": ["panel_typed"],
     "long_values": ["panel_typed"],
