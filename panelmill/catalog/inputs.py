@@ -11,12 +11,12 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelmill import fixed
-from panelmill.operators.inject import Defect, append_copies, apply_defects
-from panelmill.session import tune
+from panelmill.operators.inject import Copy, Defect, append_copies, apply_defects
+from panelmill.session import stage, tune
 
 FIRST_YEAR, LAST_YEAR = 1995, 2001  # accepted period (the last year is partial)
 START, END = 1995, 2000  # endpoints of change analyses
@@ -24,52 +24,36 @@ CODE_PATTERN = r"^C[0-9]{9}\z"
 DUPLICATE_OFFSET, ORPHAN_OFFSET = 1_000_000_000, 2_000_000_000
 
 
-def hundredths(numerator: Column, denominator: Column) -> Column:
+CODE = "concat('C', lpad(CAST({} AS STRING), 9, '0'))"
+
+
+def hundredths(numerator: str, denominator: str) -> str:
     """floor(numerator / denominator) hundredths as decimal(18,2); the same in both engines."""
-    whole = F.floor(numerator.cast("double") / denominator.cast("double")).cast("bigint")
-    return (whole.cast("decimal(18,0)") * F.lit(0.01).cast("decimal(3,2)")).cast("decimal(18,2)")
+    whole = f"CAST(floor(CAST({numerator} AS DOUBLE) / CAST({denominator} AS DOUBLE)) AS BIGINT)"
+    return f"CAST(CAST({whole} AS DECIMAL(18,0)) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(18,2))"
 
 
-def hit(p: int, r: int) -> Column:
-    return F.col("k") % p == r
+def hit(p: int, r: int) -> str:
+    return f"k % {p} = {r}"
 
 
 def indicator_defects() -> list[Defect]:
     """Defects of the six indicator columns: the first rule hit in a column wins."""
-    text = F.col
+    gdp, population, life, unemployment, co2, electricity = fixed.INDICATORS
+    artefact = f"concat(CAST(CAST({population} AS BIGINT) - 1 AS STRING), '.99999997')"
     return [
-        Defect("gdp_usd", hit(137, 11), F.concat(F.lit("$"), text("gdp_usd")), "text_formatting"),
-        Defect("gdp_usd", hit(139, 12), F.lit("NULL"), "null_sentinel"),
-        Defect(
-            "population",
-            hit(149, 13),
-            F.concat((text("population").cast("bigint") - 1).cast("string"), F.lit(".99999997")),
-            "float_artefact",
-        ),
-        Defect("population", hit(151, 14), F.lit(""), "null_sentinel"),
-        Defect("life_expectancy", hit(157, 15), F.lit("187.4"), "impossible_value"),
-        Defect("life_expectancy", hit(163, 16), F.lit("unknown"), "null_sentinel"),
-        Defect(
-            "unemployment_rate",
-            hit(167, 17),
-            F.concat(text("unemployment_rate"), F.lit("%")),
-            "text_formatting",
-        ),
-        Defect("unemployment_rate", hit(173, 18), F.lit("652.0"), "impossible_value"),
-        Defect(
-            "co2_emissions_per_capita",
-            hit(179, 19),
-            F.replace(text("co2_emissions_per_capita"), F.lit("."), F.lit(",")),
-            "text_formatting",
-        ),
-        Defect(
-            "co2_emissions_per_capita",
-            hit(181, 20),
-            F.concat(F.lit("-"), text("co2_emissions_per_capita")),
-            "impossible_value",
-        ),
-        Defect("access_to_electricity_pct", hit(191, 21), F.lit(".."), "null_sentinel"),
-        Defect("access_to_electricity_pct", hit(193, 22), F.lit("102.5"), "impossible_value"),
+        Defect(gdp, hit(137, 11), f"concat('$', {gdp})", "text_formatting"),
+        Defect(gdp, hit(139, 12), "'NULL'", "null_sentinel"),
+        Defect(population, hit(149, 13), artefact, "float_artefact"),
+        Defect(population, hit(151, 14), "''", "null_sentinel"),
+        Defect(life, hit(157, 15), "'187.4'", "impossible_value"),
+        Defect(life, hit(163, 16), "'unknown'", "null_sentinel"),
+        Defect(unemployment, hit(167, 17), f"concat({unemployment}, '%')", "text_formatting"),
+        Defect(unemployment, hit(173, 18), "'652.0'", "impossible_value"),
+        Defect(co2, hit(179, 19), f"replace({co2}, '.', ',')", "text_formatting"),
+        Defect(co2, hit(181, 20), f"concat('-', {co2})", "impossible_value"),
+        Defect(electricity, hit(191, 21), "'..'", "null_sentinel"),
+        Defect(electricity, hit(193, 22), "'102.5'", "impossible_value"),
     ]
 
 
@@ -79,29 +63,29 @@ def key_defects() -> list[Defect]:
     Code and year defects stay on records that are alone in their (customer, year): a corrected
     record must not collide with a clean twin.
     """
-    solo, text = F.col("solo"), F.col
+    name, code = "country_name", "country_code"
+    moved = f"solo AND {hit(53, 6)} AND NOT {hit(223, 2)}"
     return [
-        Defect("country_name", hit(211, 1), F.concat(text("country_name"), F.lit(" ")), "name_variant"),
-        Defect("country_name", hit(223, 2), F.concat(F.lit("Alias "), text("country_name")), "name_variant"),
-        Defect("country_code", solo & hit(61, 3), F.lit("WLD"), "aggregate_row"),
-        Defect(
-            "country_code",
-            hit(101, 4),
-            F.concat(F.lit(" "), text("country_code"), F.lit(" ")),
-            "whitespace_or_case",
-        ),
-        Defect("country_code", hit(103, 5), F.lower(text("country_code")), "whitespace_or_case"),
-        Defect(
-            "country_code",
-            solo & hit(53, 6) & ~hit(223, 2),
-            F.concat(F.lit("X"), text("country_code")),
-            "referential_integrity",
-        ),
-        Defect("region", hit(109, 7), F.lit(""), "null_sentinel"),
-        Defect("income_group", hit(113, 9), F.lit(""), "null_sentinel"),
-        Defect("year", solo & hit(59, 8), F.concat(F.lit("FY"), text("year")), "type_drift"),
-        Defect("year", solo & hit(67, 9), F.concat(text("year"), F.lit(".0")), "type_drift"),
-        Defect("year", hit(131, 10), F.lit("1899"), "out_of_range"),
+        Defect(name, hit(211, 1), f"concat({name}, ' ')", "name_variant"),
+        Defect(name, hit(223, 2), f"concat('Alias ', {name})", "name_variant"),
+        Defect(code, f"solo AND {hit(61, 3)}", "'WLD'", "aggregate_row"),
+        Defect(code, hit(101, 4), f"concat(' ', {code}, ' ')", "whitespace_or_case"),
+        Defect(code, hit(103, 5), f"lower({code})", "whitespace_or_case"),
+        Defect(code, moved, f"concat('X', {code})", "referential_integrity"),
+        Defect("region", hit(109, 7), "''", "null_sentinel"),
+        Defect("income_group", hit(113, 9), "''", "null_sentinel"),
+        Defect("year", f"solo AND {hit(59, 8)}", "concat('FY', year)", "type_drift"),
+        Defect("year", f"solo AND {hit(67, 9)}", "concat(year, '.0')", "type_drift"),
+        Defect("year", hit(131, 10), "'1899'", "out_of_range"),
+    ]
+
+
+def record_copies() -> list[Copy]:
+    """Exact duplicates, and copies of an entity that no dimension knows."""
+    orphan = {"country_code": "'IRN'", "country_name": "'Orphan'"}
+    return [
+        Copy(hit(997, 5), DUPLICATE_OFFSET, "exact_duplicate"),
+        Copy(hit(991, 6), ORPHAN_OFFSET, "orphan_record", orphan),
     ]
 
 
@@ -118,123 +102,122 @@ class Inputs:
     @cached_property
     def order_facts(self) -> DataFrame:
         """One row per order with lineitems: key, customer, year and six measures."""
-        lines = self.table("lineitem").groupBy(F.col("l_orderkey").alias("k")).agg(
+        lines = self.table("lineitem").selectExpr(
+            "l_orderkey AS k",
+            "l_quantity",
+            "CAST(round(l_discount * 100) AS BIGINT) AS d",
+            "CAST(round(l_tax * 100) AS BIGINT) AS t",
+            "CAST(l_returnflag = 'R' AS INT) AS r",
+        )
+        per_order = lines.groupBy("k").agg(
             F.count("*").alias("n"),
-            F.sum("l_quantity").cast("bigint").alias("qty"),
-            F.sum(F.round(F.col("l_discount") * 100).cast("bigint")).alias("disc"),
-            F.sum(F.round(F.col("l_tax") * 100).cast("bigint")).alias("tax"),
-            F.count_if(F.col("l_returnflag") == "R").alias("ret"),
+            F.sum("l_quantity").alias("qty"),
+            F.sum("d").alias("disc"),
+            F.sum("t").alias("tax"),
+            F.sum("r").alias("ret"),
         )
-        orders = self.table("orders").select(
-            F.col("o_orderkey").alias("k"),
-            F.col("o_custkey").alias("custkey"),
-            F.year("o_orderdate").alias("yr"),
-            F.col("o_totalprice").cast("decimal(20,2)").alias("gdp"),
+        orders = self.table("orders").selectExpr(
+            "o_orderkey AS k",
+            "o_custkey AS custkey",
+            "year(o_orderdate) AS yr",
+            "CAST(o_totalprice AS DECIMAL(20,2)) AS gdp",
         )
-        n = F.col("n")
-        return orders.join(lines, "k").select(
+        return orders.join(per_order, "k").selectExpr(
             "k",
             "custkey",
             "yr",
             "gdp",
-            F.col("qty").alias("population"),
-            hundredths(n * 4000 + F.col("disc") * 500, n).alias("life"),
-            hundredths(F.col("tax") * 100, n).alias("unemp"),
-            n.cast("decimal(18,2)").alias("co2"),
-            hundredths(F.col("ret") * 10000, n).alias("elec"),
+            "CAST(qty AS BIGINT) AS population",
+            f"{hundredths('4000 * n + 500 * disc', 'n')} AS life",
+            f"{hundredths('100 * tax', 'n')} AS unemp",
+            "CAST(n AS DECIMAL(18,2)) AS co2",
+            f"{hundredths('10000 * ret', 'n')} AS elec",
         )
 
     @cached_property
     def panel_dim(self) -> DataFrame:
         """One row per customer: code, name, region, income group."""
-        nation = self.table("nation").join(
-            self.table("region"), F.col("n_regionkey") == F.col("r_regionkey")
-        )
-        return (
-            self.table("customer")
-            .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-            .select(
-                F.concat(F.lit("C"), F.lpad(F.col("c_custkey").cast("string"), 9, "0")).alias("country_code"),
-                F.col("c_name").alias("country_name"),
-                F.col("r_name").alias("region"),
-                F.col("c_mktsegment").alias("income_group"),
-            )
+        nation = self.table("nation").join(self.table("region"), F.expr("n_regionkey = r_regionkey"))
+        customers = self.table("customer").join(nation, F.expr("c_nationkey = n_nationkey"))
+        return customers.selectExpr(
+            f"{CODE.format('c_custkey')} AS country_code",
+            "c_name AS country_name",
+            "r_name AS region",
+            "c_mktsegment AS income_group",
         )
 
     @cached_property
     def panel_text(self) -> DataFrame:
         """Defect-free text records, one per order, with the key and the ``solo`` mark."""
-        facts = self.order_facts.withColumn(
-            "country_code", F.concat(F.lit("C"), F.lpad(F.col("custkey").cast("string"), 9, "0"))
-        )
+        facts = self.order_facts.withColumn("country_code", F.expr(CODE.format("custkey")))
         # The only order of its (customer, year): counted by partial aggregation and joined back
         # on the unique order key, so a customer with very many orders makes no hot task.
         lone = (
             facts.groupBy("custkey", "yr")
             .agg(F.count("*").alias("orders"), F.min("k").alias("k"))
             .where("orders = 1")
-            .select("k", F.lit(True).alias("lone"))
+            .selectExpr("k", "TRUE AS lone")
         )
         return (
             facts.join(self.panel_dim, "country_code")
             .join(lone, "k", "left")
-            .select(
+            .selectExpr(
                 "k",
-                F.coalesce("lone", F.lit(False)).alias("solo"),
-                (F.col("k") + 1).alias("raw_record_id"),
+                "coalesce(lone, FALSE) AS solo",
+                "k + 1 AS raw_record_id",
                 "country_name",
                 "country_code",
                 "region",
                 "income_group",
-                F.col("yr").cast("string").alias("year"),
-                F.col("gdp").cast("string").alias("gdp_usd"),
-                F.col("population").cast("string").alias("population"),
-                F.col("life").cast("string").alias("life_expectancy"),
-                F.col("unemp").cast("string").alias("unemployment_rate"),
-                F.col("co2").cast("string").alias("co2_emissions_per_capita"),
-                F.col("elec").cast("string").alias("access_to_electricity_pct"),
-                F.when(hit(3, 0), F.lit("extract_2025Q1.csv"))
-                .otherwise(F.lit("extract_2024Q4.csv"))
-                .alias("source_file"),
-                F.lit("2026-08-18 04:12:07").alias("ingested_at"),
+                "CAST(yr AS STRING) AS year",
+                "CAST(gdp AS STRING) AS gdp_usd",
+                "CAST(population AS STRING) AS population",
+                "CAST(life AS STRING) AS life_expectancy",
+                "CAST(unemp AS STRING) AS unemployment_rate",
+                "CAST(co2 AS STRING) AS co2_emissions_per_capita",
+                "CAST(elec AS STRING) AS access_to_electricity_pct",
+                f"CASE WHEN {hit(3, 0)} THEN 'extract_2025Q1.csv' ELSE 'extract_2024Q4.csv' END AS source_file",
+                "'2026-08-18 04:12:07' AS ingested_at",
             )
         )
 
+    def land(self) -> "Inputs":
+        """Write the text records once, for queries that read them in several places."""
+        self.panel_text = stage(self.panel_text, "panel_text")
+        return self
+
     @cached_property
     def panel_raw(self) -> DataFrame:
         """Text records with defects, exact duplicates and orphans."""
         dirty = apply_defects(self.panel_text, key_defects() + indicator_defects())
-        with_copies = append_copies(dirty, hit(997, 5), "raw_record_id", DUPLICATE_OFFSET)
-        orphans = {"country_code": F.lit("IRN"), "country_name": F.lit("Orphan")}
-        return append_copies(
-            with_copies, hit(991, 6), "raw_record_id", ORPHAN_OFFSET, orphans, of=dirty
-        ).select("raw_record_id", *fixed.SOURCE_COLUMNS)
+        return append_copies(dirty, record_copies(), "raw_record_id").select(
+            "raw_record_id", *fixed.SOURCE_COLUMNS
+        )
 
     @cached_property
     def documented_fixes(self) -> DataFrame:
         """Known true values of some defects, keyed by code, year, column and raw value."""
         lone = self.panel_text.where("solo")
 
-        def fixes(column: str, issue: str, wrong: str, where: Column) -> DataFrame:
-            return lone.where(where).select(
+        def fixes(column: str, issue: str, wrong: str, where: str) -> DataFrame:
+            return lone.where(where).selectExpr(
                 "country_code",
                 "year",
-                F.lit(column).alias("column_name"),
-                F.lit(issue).alias("issue_type"),
-                F.lit(wrong).alias("original_value"),
-                F.col(column).alias("cleaned_value"),
+                f"'{column}' AS column_name",
+                f"'{issue}' AS issue_type",
+                f"'{wrong}' AS original_value",
+                f"{column} AS cleaned_value",
             )
 
         life = fixes("life_expectancy", fixed.LIFE_DECIMAL, "187.4", hit(157, 15))
-        return life.unionByName(fixes("gdp_usd", fixed.GDP_UNIT, "NULL", ~hit(137, 11) & hit(139, 12)))
+        gdp = fixes("gdp_usd", fixed.GDP_UNIT, "NULL", f"NOT {hit(137, 11)} AND {hit(139, 12)}")
+        return life.unionByName(gdp)
 
     @cached_property
     def record_fixes(self) -> DataFrame:
         """Known true populations, keyed by record id."""
-        return self.panel_text.where(hit(149, 13)).select(
-            "raw_record_id",
-            F.lit(fixed.POPULATION_SCALE).alias("issue_type"),
-            F.col("population").alias("cleaned_value"),
+        return self.panel_text.where(hit(149, 13)).selectExpr(
+            "raw_record_id", f"'{fixed.POPULATION_SCALE}' AS issue_type", "population AS cleaned_value"
         )
 
     @cached_property
@@ -248,46 +231,36 @@ class Inputs:
             F.min("co2").alias("co2_emissions_per_capita"),
             F.min("elec").alias("access_to_electricity_pct"),
         )
-        cells = cells.withColumn(
-            "country_code", F.concat(F.lit("C"), F.lpad(F.col("custkey").cast("string"), 9, "0"))
-        )
-        constant = F.col("income_group") == "BUILDING"
-        return cells.join(self.panel_dim, "country_code").select(
+        cells = cells.withColumn("country_code", F.expr(CODE.format("custkey")))
+        return cells.join(self.panel_dim, "country_code").selectExpr(
             "country_name",
             "country_code",
             "region",
             "income_group",
-            F.col("yr").alias("year"),
-            F.when(F.col("custkey") % 397 != 0, F.col("gdp_usd")).alias("gdp_usd"),
+            "yr AS year",
+            "CASE WHEN custkey % 397 <> 0 THEN gdp_usd END AS gdp_usd",
             "population",
             "life_expectancy",
             "unemployment_rate",
             "co2_emissions_per_capita",
-            F.when(constant, F.lit(100).cast("decimal(18,2)"))
-            .otherwise(F.col("access_to_electricity_pct"))
-            .alias("access_to_electricity_pct"),
-            F.lit("typed_feed").alias("source_file"),
-            F.lit("2026-08-18 04:12:07").alias("ingested_at"),
+            "CASE WHEN income_group = 'BUILDING' THEN CAST(100 AS DECIMAL(18,2)) "
+            "ELSE access_to_electricity_pct END AS access_to_electricity_pct",
+            "'typed_feed' AS source_file",
+            "'2026-08-18 04:12:07' AS ingested_at",
         )
 
     @cached_property
     def staging(self) -> DataFrame:
         """The typed panel as text: what a snapshot of an official feed looks like."""
-        return self.panel_typed.select(
-            *[F.col(c).cast("string").alias(c) for c in fixed.SOURCE_COLUMNS]
-        )
+        return self.panel_typed.selectExpr(*[f"CAST({c} AS STRING) AS {c}" for c in fixed.SOURCE_COLUMNS])
 
     @cached_property
     def long_values(self) -> DataFrame:
-        """(indicator, code, entity, year, value): one row per measured or missing cell."""
-        values = self.panel_typed.select(
-            "country_code",
-            "year",
-            *[F.col(c).cast("decimal(20,2)").alias(c) for c in fixed.INDICATORS],
-        )
-        return values.unpivot(["country_code", "year"], fixed.INDICATORS, "indicator", "value").select(
-            "indicator", F.col("country_code").alias("entity"), "year", "value"
+        """(indicator, entity, year, value): one row per measured or missing cell."""
+        values = self.panel_typed.selectExpr(
+            "country_code AS entity", "year", *[f"CAST({c} AS DECIMAL(20,2)) AS {c}" for c in fixed.INDICATORS]
         )
+        return values.unpivot(["entity", "year"], fixed.INDICATORS, "indicator", "value")
 
     @cached_property
     def events(self) -> DataFrame:

@@ -55,7 +55,7 @@ YEAR_FLOAT = r"^[0-9]{4}\.0\z"
 NUMBER_PLAIN = r"^-?[0-9]+([.][0-9]+)?\z"
 NUMBER_SIGNED = r"^[+-]?[0-9]+([.][0-9]+)?\z"
 NUMBER_COMMA = r"^[0-9]+,[0-9]+\z"
-NUMBER_COMMA_SIGNED = r"^-?[0-9]+,[0-9]+\z"
+NUMBER_COMMA_SIGNED = r"^(-?[0-9]+),([0-9]+)\z"
 NUMBER_PERCENT = r"^[0-9]+([.][0-9]+)?%\z"
 NUMBER_CURRENCY = r"^[$][0-9,]+([.][0-9]+)?\z"
 # Input formats of the numeric, integer and timestamp types, outer white space allowed.

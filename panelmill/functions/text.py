@@ -46,12 +46,19 @@ def guarded(
     return F.when(matches(c, pattern), test(c.try_cast(type_name))).otherwise(F.lit(otherwise))
 
 
+def within(c: Column | str, lo=None, hi=None) -> Column:
+    """TRUE inside [lo, hi] with open ends; NULL stays NULL."""
+    c = col(c)
+    if lo is not None and hi is not None:
+        return c.between(lo, hi)
+    if lo is not None:
+        return c >= lo
+    return c <= hi if hi is not None else F.lit(True)
+
+
 def out_of_range(c: Column | str, lo=None, hi=None) -> Column:
     """TRUE outside [lo, hi]; NULL values and open ends pass."""
-    c = col(c)
-    below = c < lo if lo is not None else F.lit(False)
-    above = c > hi if hi is not None else F.lit(False)
-    return F.coalesce(below | above, F.lit(False))
+    return F.coalesce(~within(c, lo, hi), F.lit(False))
 
 
 def is_valid(c: Column | str, type_name: str) -> Column:
@@ -99,21 +106,62 @@ def as_utc(c: Column | str) -> Column:
     return as_timestamp(c).cast("timestamp")
 
 
-def clean_numeric(c: Column | str, lo=None, hi=None) -> Column:
+# --- the same tests as SQL text -----------------------------------------------------------------
+# Composed expressions are put together as text and parsed once: building a large expression from
+# Column objects takes one call into the JVM per node.
+
+
+def text_sql(value: str) -> str:
+    """A raw string literal, in which backslashes stand for themselves."""
+    return f"r'{value}'"
+
+
+def trim_sql(c: str) -> str:
+    return f"btrim({c})"
+
+
+def blank_sql(c: str) -> str:
+    return f"nullif(btrim({c}), '')"
+
+
+def matches_sql(c: str, pattern: str) -> str:
+    return f"rlike({c}, {text_sql(pattern)})"
+
+
+def matches_any_sql(c: str, patterns: list[str]) -> str:
+    """Whether one of the anchored patterns matches, as a single regex test."""
+    inner = "|".join(p.removeprefix("^").removesuffix(r"\z") for p in patterns)
+    return matches_sql(c, rf"^(?:{inner})\z")
+
+
+def within_sql(c: str, lo=None, hi=None) -> str:
+    if lo is not None and hi is not None:
+        return f"{c} BETWEEN {lo} AND {hi}"
+    return f"{c} >= {lo}" if lo is not None else f"{c} <= {hi}"
+
+
+def outside_sql(c: str, lo=None, hi=None) -> str:
+    return f"coalesce(NOT ({within_sql(c, lo, hi)}), FALSE)"
+
+
+def clean_numeric(c: str, lo=None, hi=None) -> Column:
     """Number behind currency, percent or decimal-comma formatting; NULL if none or out of range.
 
     One formatting is removed, tested in that order, so ``1,234`` reads as 1.234 and ``-7,5`` as
-    -7.5, while ``+5`` is rejected.
+    -7.5, while ``+5`` is rejected.  ``c`` is a column name or SQL text.  Each step names its input
+    as rarely as possible, because expressions are inlined.
     """
-    text = trimmed(c)
+    text = trim_sql(c)
     bare = (
-        F.when(text.startswith("$"), F.replace(F.replace(text, F.lit("$"), F.lit("")), F.lit(","), F.lit("")))
-        .when(text.endswith("%"), F.replace(text, F.lit("%"), F.lit("")))
-        .when(matches(text, fixed.NUMBER_COMMA_SIGNED), F.replace(text, F.lit(","), F.lit(".")))
-        .otherwise(text)
+        f"CASE WHEN startswith({text}, '$') THEN translate({text}, '$,', '') "
+        f"WHEN endswith({text}, '%') THEN translate({text}, '%', '') "
+        f"ELSE regexp_replace({text}, {text_sql(fixed.NUMBER_COMMA_SIGNED)}, '$1.$2') END"
     )
-    value = F.when(matches(bare, fixed.NUMBER_PLAIN), bare.try_cast(fixed.OFFICIAL_DECIMAL))
-    return F.when(~out_of_range(value, lo, hi), value)
+    number = f"regexp_extract({bare}, {text_sql(fixed.NUMBER_PLAIN)}, 0)"
+    value = f"TRY_CAST({number} AS {fixed.OFFICIAL_DECIMAL})"
+    if lo is None and hi is None:
+        return F.expr(value)
+    return F.expr(f"CASE WHEN {within_sql(value, lo, hi)} THEN {value} END")
 
 
 def pick(name: Column | str, columns: list[str]) -> Column:

@@ -1,8 +1,8 @@
 """Row-level issue detectors.
 
-Every detector is an expression that yields one audit entry or NULL.  They are collected into one
-array per record, so a table is scanned once for all of them and only real issues are exploded.
-Each entry is unique by (record, column, issue type), the key of the audit log.
+Every detector is a SQL expression that yields one audit entry or NULL.  They are exploded
+together, so a table is scanned once for all of them.  Each entry is unique by (record, column,
+issue type), the key of the audit log.
 
 Detectors and :func:`panelmill.functions.text.clean_numeric` differ on purpose: only unsigned
 decimal commas are logged as a format fix although signed ones are read too, and the range check
@@ -11,161 +11,192 @@ looks at plain numbers only, so ``652.0%`` becomes NULL without an audit row.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelmill import fixed
-from panelmill.functions.text import (
-    any_of,
-    blank_to_null,
-    distinct_from,
-    guarded,
-    matches,
-    out_of_range,
-    trimmed,
-)
-from panelmill.operators.joins import differs
+from panelmill.functions.text import blank_sql, matches_any_sql, matches_sql, outside_sql, text_sql, trim_sql
 
 AUDIT = ["column_name", "issue_type", "original_value", "cleaned_value", "action_taken"]
+NO_VALUE = "CAST(NULL AS STRING)"
 
 
-def entry(column, issue, original, cleaned, action: str) -> Column:
-    """One audit entry; plain strings are literals, ``cleaned`` may be None."""
-    text = [v if isinstance(v, Column) else F.lit(v) for v in (column, issue, original, cleaned, action)]
-    return F.struct(*[v.cast("string").alias(name) for v, name in zip(text, AUDIT)])
+def entry(column: str, issue: str, original: str, cleaned: str | None, action: str) -> str:
+    """One audit entry; ``issue``, ``original`` and ``cleaned`` are SQL, the others names."""
+    values = [text_sql(column), issue, original, cleaned or NO_VALUE, text_sql(action)]
+    fields = ", ".join(f"{text_sql(name)}, {value}" for name, value in zip(AUDIT, values))
+    return f"named_struct({fields})"
 
 
-def outside_scope_issue() -> Column:
-    """Neither code nor name is in the dimension (needs ``by_code`` and ``by_name``)."""
-    found = F.col("by_code").isNotNull() | F.col("by_name").isNotNull()
-    original = F.concat_ws(fixed.PART_SEPARATOR, trimmed("country_code"), trimmed("country_name"))
-    return F.when(~found, entry("row", fixed.OUTSIDE_SCOPE, original, None, fixed.QUARANTINED))
+def when(*branches: tuple[str, str]) -> str:
+    return "CASE " + " ".join(f"WHEN {test} THEN {value}" for test, value in branches) + " END"
 
 
-def year_range_issue(first: int, last: int) -> Column:
+def joined(parts: list[str]) -> str:
+    return f"concat_ws({text_sql(fixed.PART_SEPARATOR)}, {', '.join(parts)})"
+
+
+# --- scope and keys; these need the columns by_code and by_name of a resolved record ------------
+
+OUTSIDE_SCOPE = "(by_code IS NULL AND by_name IS NULL)"
+
+
+def year_outside(first: int, last: int) -> str:
     """Four-digit year outside the period, compared as text."""
-    year = trimmed("year")
-    outside = matches(year, fixed.YEAR_PLAIN) & ~year.between(str(first), str(last))
-    return F.when(outside, entry("year", fixed.YEAR_OUT_OF_RANGE, year, None, fixed.QUARANTINED))
+    year = trim_sql("year")
+    plain = matches_sql(year, fixed.YEAR_PLAIN)
+    return f"coalesce({plain} AND {year} NOT BETWEEN '{first}' AND '{last}', FALSE)"
+
+
+def is_quarantined(first: int, last: int) -> str:
+    """Whether a resolved record gets a quarantining issue, without building its audit entries."""
+    return f"{OUTSIDE_SCOPE} OR {year_outside(first, last)}"
+
+
+def outside_scope_issue() -> str:
+    """The record matches the dimension neither by code nor by name."""
+    original = joined([trim_sql("country_code"), trim_sql("country_name")])
+    issue = text_sql(fixed.OUTSIDE_SCOPE)
+    return when((OUTSIDE_SCOPE, entry("row", issue, original, None, fixed.QUARANTINED)))
 
 
-def code_fix_issue() -> Column:
+def year_range_issue(first: int, last: int) -> str:
+    """The year lies outside the period."""
+    issue = text_sql(fixed.YEAR_OUT_OF_RANGE)
+    return when((year_outside(first, last), entry("year", issue, trim_sql("year"), None, fixed.QUARANTINED)))
+
+
+def code_fix_issue() -> str:
     """The name is in the dimension but the trimmed code is another one."""
-    expected = F.col("by_name.country_code")
-    wrong = F.col("by_name").isNotNull() & distinct_from(trimmed("country_code"), expected)
-    return F.when(
-        wrong,
-        entry("country_code", fixed.CODE_STANDARDIZED, F.col("country_code"), expected, fixed.CORRECTED),
-    )
+    expected = "by_name.country_code"
+    wrong = f"by_name IS NOT NULL AND {trim_sql('country_code')} IS DISTINCT FROM {expected}"
+    issue = text_sql(fixed.CODE_STANDARDIZED)
+    return when((wrong, entry("country_code", issue, "country_code", expected, fixed.CORRECTED)))
 
 
-def year_fix_value() -> Column:
+def year_fix() -> str:
     """Year behind a fiscal prefix or a float suffix, else NULL."""
-    year = trimmed("year")
-    return F.when(matches(year, fixed.YEAR_FISCAL), F.right(year, F.lit(4))).when(
-        matches(year, fixed.YEAR_FLOAT), F.split_part(year, F.lit("."), F.lit(1))
+    year = trim_sql("year")
+    return when(
+        (matches_sql(year, fixed.YEAR_FISCAL), f"right({year}, 4)"),
+        (matches_sql(year, fixed.YEAR_FLOAT), f"split_part({year}, '.', 1)"),
     )
 
 
-def year_fix_issue() -> Column:
-    value = year_fix_value()
-    return F.when(
-        value.isNotNull(), entry("year", fixed.YEAR_STANDARDIZED, F.col("year"), value, fixed.CORRECTED)
-    )
+def year_fix_issue() -> str:
+    """The year can be read behind another format."""
+    readable = matches_any_sql(trim_sql("year"), [fixed.YEAR_FISCAL, fixed.YEAR_FLOAT])
+    issue = text_sql(fixed.YEAR_STANDARDIZED)
+    return when((readable, entry("year", issue, "year", year_fix(), fixed.CORRECTED)))
 
 
-def reference_fix_issue() -> Column:
+def reference_fix_issue() -> str:
     """Attributes differ from a matched dimension row; the name match is reported if both do."""
-    original = F.concat_ws(fixed.PART_SEPARATOR, *[blank_to_null(a) for a in fixed.DIM_ATTRIBUTES])
+    original = joined([blank_sql(a) for a in fixed.DIM_ATTRIBUTES])
+    issue = text_sql(fixed.REFERENCE_STANDARDIZED)
 
-    def against(match: str) -> Column:
-        expected = F.concat_ws(
-            fixed.PART_SEPARATOR, *[F.col(f"{match}.{a}") for a in fixed.DIM_ATTRIBUTES]
+    def against(match: str) -> tuple[str, str]:
+        differs = " OR ".join(
+            f"{blank_sql(a)} IS DISTINCT FROM {match}.{a}" for a in fixed.DIM_ATTRIBUTES
         )
-        return F.when(
-            differs(match),
-            entry("reference_fields", fixed.REFERENCE_STANDARDIZED, original, expected, fixed.CORRECTED),
+        expected = joined([f"{match}.{a}" for a in fixed.DIM_ATTRIBUTES])
+        return (
+            f"{match} IS NOT NULL AND ({differs})",
+            entry("reference_fields", issue, original, expected, fixed.CORRECTED),
         )
 
-    return F.coalesce(against("by_name"), against("by_code"))
+    return when(against("by_name"), against("by_code"))
+
+
+# --- numbers -----------------------------------------------------------------------------------
+
+# The one recoverable format of a column, and the characters that turn its text into a number.
+FORMAT_FIXES = {
+    "co2_emissions_per_capita": (fixed.NUMBER_COMMA, (",", ".")),
+    "unemployment_rate": (fixed.NUMBER_PERCENT, ("%", "")),
+    "gdp_usd": (fixed.NUMBER_CURRENCY, ("$,", "")),
+}
+OTHER_FORMATS = [fixed.NUMBER_COMMA, fixed.NUMBER_PERCENT, fixed.NUMBER_CURRENCY]
+
+
+def _format_fix(c: str) -> tuple[str, str]:
+    pattern, (signs, by) = FORMAT_FIXES[c]
+    repaired = f"translate({trim_sql(c)}, {text_sql(signs)}, {text_sql(by)})"
+    issue = text_sql(fixed.FORMAT_STANDARDIZED)
+    return matches_sql(trim_sql(c), pattern), entry(c, issue, c, repaired, fixed.CORRECTED)
 
 
-def format_fix_issues() -> list[Column]:
+def _to_null(c: str, issue: str) -> str:
+    return entry(c, text_sql(issue), c, None, fixed.SET_TO_NULL)
+
+
+def _out_of_range(c: str, lo, hi) -> tuple[str, str]:
+    value = f"TRY_CAST({trim_sql(c)} AS {fixed.OFFICIAL_DECIMAL})"
+    return (
+        matches_sql(trim_sql(c), fixed.NUMBER_PLAIN),
+        when((outside_sql(value, lo, hi), _to_null(c, fixed.OUT_OF_RANGE))),
+    )
+
+
+def format_fix_issues() -> list[str]:
     """Recoverable number formats, one pattern per column."""
+    return [when(_format_fix(c)) for c in FORMAT_FIXES]
 
-    def without(c: Column, *signs: str) -> Column:
-        for sign in signs:
-            c = F.replace(c, F.lit(sign), F.lit(""))
-        return c
-
-    rules = [
-        (
-            "co2_emissions_per_capita",
-            fixed.NUMBER_COMMA,
-            lambda t: F.replace(t, F.lit(","), F.lit(".")),
-        ),
-        ("unemployment_rate", fixed.NUMBER_PERCENT, lambda t: without(t, "%")),
-        ("gdp_usd", fixed.NUMBER_CURRENCY, lambda t: without(t, "$", ",")),
-    ]
+
+def set_null_issues(columns: list[str]) -> list[str]:
+    """Values that become NULL because they are missing or fit none of the number formats."""
     return [
-        F.when(
-            matches(trimmed(c), pattern),
-            entry(c, fixed.FORMAT_STANDARDIZED, F.col(c), fix(trimmed(c)), fixed.CORRECTED),
+        when(
+            (f"{blank_sql(c)} IS NULL", _to_null(c, fixed.MISSING_NUMERIC)),
+            (
+                f"NOT {matches_any_sql(trim_sql(c), [fixed.NUMBER_PLAIN, *OTHER_FORMATS])}",
+                _to_null(c, fixed.INVALID_NUMERIC),
+            ),
         )
-        for c, pattern, fix in rules
+        for c in columns
     ]
 
 
-def set_null_issues(columns: list[str]) -> list[Column]:
-    """Values that become NULL because they are missing or fit none of the number formats."""
-    known = [fixed.NUMBER_PLAIN, fixed.NUMBER_COMMA, fixed.NUMBER_PERCENT, fixed.NUMBER_CURRENCY]
-    out = []
-    for c in columns:
-        missing = blank_to_null(c).isNull()
-        readable = any_of([matches(trimmed(c), pattern) for pattern in known])
-        out.append(
-            F.when(missing, entry(c, fixed.MISSING_NUMERIC, F.col(c), None, fixed.SET_TO_NULL)).when(
-                ~readable, entry(c, fixed.INVALID_NUMERIC, F.col(c), None, fixed.SET_TO_NULL)
-            )
-        )
-    return out
+def out_of_range_issues(bounds: dict[str, tuple]) -> list[str]:
+    """Plain numbers outside their bounds."""
+    return [when(_out_of_range(c, lo, hi)) for c, (lo, hi) in bounds.items()]
 
 
-def out_of_range_issues(bounds: dict[str, tuple]) -> list[Column]:
-    """Plain numbers outside their bounds."""
-    out = []
-    for c, (lo, hi) in bounds.items():
-        wrong = guarded(
-            trimmed(c),
-            fixed.NUMBER_PLAIN,
-            fixed.OFFICIAL_DECIMAL,
-            lambda v, lo=lo, hi=hi: out_of_range(v, lo, hi),
-            False,
+def numeric_issues(bounds: dict[str, tuple]) -> list[str]:
+    """The three detectors above as one test chain per column.
+
+    Their conditions exclude each other, so a column has at most one of these issues, and an
+    ordinary number is settled by the first test and one range comparison.
+    """
+    return [
+        when(
+            _out_of_range(c, lo, hi),
+            (f"{blank_sql(c)} IS NULL", _to_null(c, fixed.MISSING_NUMERIC)),
+            *([_format_fix(c)] if c in FORMAT_FIXES else []),
+            (f"NOT {matches_any_sql(trim_sql(c), OTHER_FORMATS)}", _to_null(c, fixed.INVALID_NUMERIC)),
         )
-        out.append(F.when(wrong, entry(c, fixed.OUT_OF_RANGE, F.col(c), None, fixed.SET_TO_NULL)))
-    return out
+        for c, (lo, hi) in bounds.items()
+    ]
 
 
-def all_issues(first: int, last: int, bounds: dict[str, tuple]) -> Column:
-    """Array of all audit entries of a resolved record."""
-    found = [
+def all_issues(first: int, last: int, bounds: dict[str, tuple]) -> list[str]:
+    """Every detector of a resolved record."""
+    return [
         outside_scope_issue(),
         year_range_issue(first, last),
         code_fix_issue(),
         year_fix_issue(),
         reference_fix_issue(),
-        *format_fix_issues(),
-        *set_null_issues(list(bounds)),
-        *out_of_range_issues(bounds),
+        *numeric_issues(bounds),
     ]
-    return F.filter(F.array(*found), lambda e: e.isNotNull())
-
 
-def explode_issues(df: DataFrame, issues: Column, id_column: str = "raw_record_id") -> DataFrame:
-    """Audit rows from an array of entries."""
-    return df.select(id_column, F.explode(issues).alias("issue")).select(id_column, "issue.*")
 
+def audit_rows(df: DataFrame, detectors: list[str], id_column: str = "raw_record_id") -> DataFrame:
+    """Audit rows of several detectors from one pass over the records.
 
-def union_issues(df: DataFrame, detectors: list[Column], id_column: str = "raw_record_id") -> DataFrame:
-    """Audit rows of several detectors from one pass over the records."""
-    return explode_issues(df, F.filter(F.array(*detectors), lambda e: e.isNotNull()), id_column)
+    Entries are computed by a projection, exploded, and NULL ones dropped after that: dropping
+    them inside the array would need a lambda, and everything below a lambda is interpreted.
+    """
+    entries = df.select(id_column, F.expr(f"array({', '.join(detectors)})").alias("issues"))
+    found = entries.select(id_column, F.explode("issues").alias("issue")).where("issue IS NOT NULL")
+    return found.select(id_column, "issue.*")

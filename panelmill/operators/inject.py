@@ -6,76 +6,73 @@ same table always gets the same defects, on any number of partitions.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
 @dataclass(frozen=True)
 class Defect:
-    """Replace ``column`` by ``value`` where ``where`` holds; both may use any clean column."""
+    """Replace ``column`` by ``value`` where ``where`` holds; both are SQL over the clean columns."""
 
     column: str
-    where: Column
-    value: Column
+    where: str
+    value: str
     kind: str
 
 
-def _chains(df: DataFrame, defects: list[Defect], what) -> dict[str, Column]:
-    """Per defective column, the first-rule-wins CASE over ``what(defect)``."""
-    chains: dict[str, Column] = {}
+def _chains(df: DataFrame, defects: list[Defect], what) -> dict[str, str]:
+    """Per defective column, the first-rule-wins branches over ``what(defect)``."""
+    chains: dict[str, str] = {}
     for d in defects:
         if d.column not in df.columns:
             raise ValueError(f"no column {d.column} to put a defect into")
-        branch = chains.get(d.column)
-        chains[d.column] = F.when(d.where, what(d)) if branch is None else branch.when(d.where, what(d))
+        chains[d.column] = f"{chains.get(d.column, 'CASE')} WHEN {d.where} THEN {what(d)}"
     return chains
 
 
 def apply_defects(df: DataFrame, defects: list[Defect]) -> DataFrame:
     """One projection: every column takes its first matching defect, or stays as it is."""
     chains = _chains(df, defects, lambda d: d.value)
-    return df.select(
-        *[chains[c].otherwise(F.col(c)).alias(c) if c in chains else F.col(c) for c in df.columns]
-    )
+    return df.selectExpr(*[f"{chains[c]} ELSE {c} END AS {c}" if c in chains else c for c in df.columns])
+
 
+@dataclass(frozen=True)
+class Copy:
+    """Repeat a record under ``id + offset`` where ``where`` holds, with replaced columns."""
 
-def append_copies(
-    df: DataFrame,
-    where: Column,
-    id_column: str,
-    offset: int,
-    replace: dict[str, Column] | None = None,
-    of: DataFrame | None = None,
-) -> DataFrame:
-    """Append copies of matching records under shifted ids, optionally with replaced columns."""
-    source = df if of is None else of
-    copies = source.where(where).withColumn(id_column, F.col(id_column) + F.lit(offset))
-    for column, value in (replace or {}).items():
-        copies = copies.withColumn(column, value)
-    return df.unionByName(copies)
+    where: str
+    offset: int
+    kind: str
+    replace: dict[str, str] = field(default_factory=dict)
+
+
+def append_copies(df: DataFrame, copies: list[Copy], id_column: str) -> DataFrame:
+    """Every record followed by its copies, in one pass over the table."""
+    numbers = [f"CASE WHEN {c.where} THEN {n} END" for n, c in enumerate(copies, 1)]
+    repeated = df.withColumn("_copy", F.expr(f"explode(array(0, {', '.join(numbers)}))"))
+    values: dict[str, str] = {}
+    for n, c in enumerate(copies, 1):
+        for column, value in (c.replace | {id_column: f"{id_column} + {c.offset}"}).items():
+            values[column] = f"{values.get(column, 'CASE')} WHEN _copy = {n} THEN {value}"
+    return repeated.where("_copy IS NOT NULL").selectExpr(
+        *[f"{values[c]} ELSE {c} END AS {c}" if c in values else c for c in df.columns]
+    )
 
 
 def manifest(df: DataFrame, defects: list[Defect], keys: list[str]) -> DataFrame:
-    """(keys…, column_name, defect_type, detail): one row per defect that changed a record."""
-    kinds = _chains(df, defects, lambda d: F.lit(d.kind))
+    """(keys…, column_name, defect_type, original_value, dirty_value): one row per defect that changed a record."""
+    kinds = _chains(df, defects, lambda d: f"'{d.kind}'")
     values = _chains(df, defects, lambda d: d.value)
     entries = [
-        F.when(
-            kinds[c].isNotNull(),
-            F.struct(
-                F.lit(c).alias("column_name"),
-                kinds[c].alias("defect_type"),
-                F.concat(F.lit("'"), F.col(c), F.lit("' written as '"), values[c], F.lit("'")).alias("detail"),
-            ),
-        )
+        f"CASE WHEN {kinds[c]} END IS NOT NULL THEN named_struct('column_name', '{c}', "
+        f"'defect_type', {kinds[c]} END, 'original_value', {c}, 'dirty_value', {values[c]} END) END"
         for c in kinds
     ]
-    return df.select(
-        *keys, F.explode(F.filter(F.array(*entries), lambda e: e.isNotNull())).alias("entry")
-    ).select(*keys, "entry.*")
+    found = df.select(*keys, F.expr(f"explode(array({', '.join(entries)}))").alias("entry"))
+    return found.where("entry IS NOT NULL").select(*keys, "entry.*")
 
 
 def defect_summary(manifest_df: DataFrame) -> DataFrame:

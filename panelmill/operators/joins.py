@@ -91,13 +91,6 @@ def resolve(df: DataFrame, dim: DataFrame) -> DataFrame:
     )
 
 
-def differs(entry: str) -> Column:
-    """Whether the record's attributes differ from a matched dimension row."""
-    return F.col(entry).isNotNull() & any_of(
-        [distinct_from(blank_to_null(a), f"{entry}.{a}") for a in fixed.DIM_ATTRIBUTES]
-    )
-
-
 def match_either(df: DataFrame, dim: DataFrame) -> DataFrame:
     """Records with one dimension row, found by name or else by code; no match, no row.
 

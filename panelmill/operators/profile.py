@@ -92,7 +92,7 @@ def year_issues(df: DataFrame, first: int, last: int, id_column: str = "raw_reco
 def _per_indicator(df: DataFrame, ids: list[str], keep: dict[str, Column], extra=()) -> DataFrame:
     """One row per indicator value that meets its condition.
 
-    Row-local: conditions are tested before anything is multiplied, and only hits are exploded.
+    Row-local: tests, explode and the filter on hits stay in one generated loop.
     """
     entries = [
         F.when(
@@ -101,8 +101,8 @@ def _per_indicator(df: DataFrame, ids: list[str], keep: dict[str, Column], extra
         )
         for c, condition in keep.items()
     ]
-    hits = F.filter(F.array(*entries), lambda e: e.isNotNull())
-    return df.select(*ids, F.explode(hits).alias("hit")).select(*ids, "hit.*")
+    hits = df.select(*ids, F.explode(F.array(*entries)).alias("hit")).where(F.col("hit").isNotNull())
+    return hits.select(*ids, "hit.*")
 
 
 def non_numeric(df: DataFrame, ids: list[str], columns: list[str]) -> DataFrame:

@@ -7,17 +7,18 @@ id for the losing duplicates.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelmill import fixed
 from panelmill.functions.numeric import round_to_bigint
-from panelmill.functions.text import as_timestamp, clean_numeric, trimmed
+from panelmill.functions.text import as_timestamp, clean_numeric, trim_sql, trimmed
 from panelmill.operators.dedup import duplicate_issues, first_per_key, panel_keys, panel_order
-from panelmill.operators.detect import all_issues, entry, explode_issues, year_fix_value
+from panelmill.operators.detect import all_issues, audit_rows, entry, is_quarantined, when, year_fix
 from panelmill.operators.joins import DIM, resolve
 
 ID = "raw_record_id"
+FIX_COLUMNS = ["life_expectancy", "gdp_usd"]
 
 
 def attach_documented_fixes(raw: DataFrame, fixes: DataFrame, columns: list[str]) -> DataFrame:
@@ -60,78 +61,86 @@ def attach_record_fixes(raw: DataFrame, fixes: DataFrame, column: str) -> DataFr
     return raw.join(rules, ID, "left")
 
 
-def documented_issues(columns: list[str]) -> Column:
-    """Audit entries of the attached corrections."""
-    entries = [
-        F.when(
-            F.col(f"fix_{c}").isNotNull(),
-            entry(c, F.col(f"fix_{c}.issue"), trimmed(c), F.col(f"fix_{c}.value"), fixed.CORRECTED),
+def documented_issues(columns: list[str]) -> list[str]:
+    """Detectors that report the attached corrections."""
+    return [
+        when(
+            (
+                f"fix_{c} IS NOT NULL",
+                entry(c, f"fix_{c}.issue", trim_sql(c), f"fix_{c}.value", fixed.CORRECTED),
+            )
         )
         for c in columns
     ]
-    return F.filter(F.array(*entries), lambda e: e.isNotNull())
 
 
-def documented_audit(raw: DataFrame, fixes: DataFrame, record_fixes: DataFrame) -> DataFrame:
-    """Audit rows of documented corrections only."""
-    attached = attach_record_fixes(
-        attach_documented_fixes(raw, fixes, ["life_expectancy", "gdp_usd"]), record_fixes, "population"
+def documented_audit(raw: DataFrame, fixes: DataFrame | None, record_fixes: DataFrame | None) -> DataFrame:
+    """Audit rows of documented corrections, from the few columns they depend on."""
+    rows, columns = attach_fixes(
+        raw.select(ID, "country_code", "year", *FIX_COLUMNS, "population"), fixes, record_fixes
     )
-    return explode_issues(attached, documented_issues(["life_expectancy", "gdp_usd", "population"]))
+    return audit_rows(rows, documented_issues(columns))
 
 
-def annotate(
-    raw: DataFrame,
-    dim: DataFrame,
-    first: int,
-    last: int,
+def attach_fixes(
+    rows: DataFrame, fixes: DataFrame | None, record_fixes: DataFrame | None
+) -> tuple[DataFrame, list[str]]:
+    """Records with their ``fix_…`` structs, and the columns that got one."""
+    columns = []
+    if fixes is not None:
+        rows, columns = attach_documented_fixes(rows, fixes, FIX_COLUMNS), [*FIX_COLUMNS]
+    if record_fixes is not None:
+        rows, columns = attach_record_fixes(rows, record_fixes, "population"), [*columns, "population"]
+    return rows, columns
+
+
+def annotate(raw: DataFrame, dim: DataFrame, first: int, last: int) -> DataFrame:
+    """Raw records with the dimension rows found by code and by name and the quarantine flag."""
+    return resolve(raw, dim).withColumn("quarantined", F.expr(is_quarantined(first, last)))
+
+
+def clean_panel(
+    annotated: DataFrame,
     bounds: dict[str, tuple] = fixed.BOUNDS,
     fixes: DataFrame | None = None,
     record_fixes: DataFrame | None = None,
 ) -> DataFrame:
-    """Raw records with their dimension rows, audit entries and quarantine flag."""
-    fixed_columns = []
-    rows = raw
-    if fixes is not None:
-        rows = attach_documented_fixes(rows, fixes, ["life_expectancy", "gdp_usd"])
-        fixed_columns += ["life_expectancy", "gdp_usd"]
-    if record_fixes is not None:
-        rows = attach_record_fixes(rows, record_fixes, "population")
-        fixed_columns += ["population"]
-    issues = all_issues(first, last, bounds)
-    if fixed_columns:
-        issues = F.concat(issues, documented_issues(fixed_columns))
-    resolved = resolve(rows, dim).withColumn("issues", issues)
-    for c in fixed_columns:
-        resolved = resolved.withColumn(c, F.coalesce(f"fix_{c}.value", c)).drop(f"fix_{c}")
-    quarantined = F.exists("issues", lambda e: e["action_taken"] == fixed.QUARANTINED)
-    return resolved.withColumn("quarantined", quarantined)
-
-
-def clean_panel(annotated: DataFrame, bounds: dict[str, tuple] = fixed.BOUNDS) -> DataFrame:
     """Typed records: not quarantined, best of their key, attributes from the dimension.
 
     A record matched by name takes the dimension row of its name, else that of its code.  Values
     out of bounds or unreadable are NULL.  Years that cannot be read stay NULL for the gates.
+    Documented corrections are joined after the duplicates are gone.
     """
     kept = first_per_key(annotated.where("NOT quarantined"), panel_keys(), panel_order())
+    kept, columns = attach_fixes(kept, fixes, record_fixes)
+    text = {c: f"coalesce(fix_{c}.value, {c})" if c in columns else c for c in bounds}
     dim = F.coalesce("by_name", "by_code")
-    values = {c: clean_numeric(c, lo, hi) for c, (lo, hi) in bounds.items()}
+    values = {c: clean_numeric(text[c], lo, hi) for c, (lo, hi) in bounds.items()}
     values["population"] = round_to_bigint(values["population"])
     return kept.select(
         ID,
         *[dim[c].alias(c) for c in DIM],
-        F.coalesce(year_fix_value(), trimmed("year")).try_cast("smallint").alias("year"),
+        F.coalesce(F.expr(year_fix()), trimmed("year")).try_cast("smallint").alias("year"),
         *[values[c].cast(fixed.CLEAN_TYPES[c]).alias(c) for c in fixed.INDICATORS],
         trimmed("source_file").alias("source_file"),
         as_timestamp("ingested_at").alias("ingested_at"),
     )
 
 
-def audit_log(annotated: DataFrame) -> DataFrame:
-    """One row per record, column and issue, losing duplicates included."""
-    issues = explode_issues(annotated, F.col("issues"))
-    return issues.unionByName(duplicate_issues(annotated.where("NOT quarantined")))
+def audit_log(
+    annotated: DataFrame,
+    first: int,
+    last: int,
+    bounds: dict[str, tuple] = fixed.BOUNDS,
+    fixes: DataFrame | None = None,
+    record_fixes: DataFrame | None = None,
+) -> DataFrame:
+    """One row per record, column and issue: detectors, losing duplicates, documented corrections."""
+    log = audit_rows(annotated, all_issues(first, last, bounds))
+    log = log.unionByName(duplicate_issues(annotated.where("NOT quarantined")))
+    if fixes is None and record_fixes is None:
+        return log
+    return log.unionByName(documented_audit(annotated, fixes, record_fixes))
 
 
 def review_list(audit: DataFrame, raw: DataFrame, issues: list[str], context: list[str]) -> DataFrame:

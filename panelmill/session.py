@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # HotSpot never compiles a method above 8000 bytes; beyond it split methods are faster.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
