@@ -1,6 +1,6 @@
 """Registered queries.  Importing the package fills the registry."""
 
-from panelmill.catalog import cleaning, profiling, statistics  # noqa: F401
+from panelmill.catalog import cleaning, profiling, publishing, statistics  # noqa: F401
 from panelmill.catalog.base import CHECKS, QUERIES
 
 __all__ = ["CHECKS", "QUERIES"]

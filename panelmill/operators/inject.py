@@ -75,6 +75,22 @@ def manifest(df: DataFrame, defects: list[Defect], keys: list[str]) -> DataFrame
     return found.where("entry IS NOT NULL").select(*keys, "entry.*")
 
 
+def copy_manifest(df: DataFrame, copies: list[Copy], id_column: str) -> DataFrame:
+    """(id, column_name, defect_type, original_value, dirty_value): one row per added copy."""
+    entries = [
+        f"CASE WHEN {c.where} THEN named_struct('id', {id_column} + {c.offset}, 'kind', '{c.kind}') END"
+        for c in copies
+    ]
+    found = df.select(F.expr(f"explode(array({', '.join(entries)}))").alias("entry")).where("entry IS NOT NULL")
+    return found.selectExpr(
+        f"entry.id AS {id_column}",
+        "'*' AS column_name",
+        "entry.kind AS defect_type",
+        "CAST(NULL AS STRING) AS original_value",
+        "CAST(NULL AS STRING) AS dirty_value",
+    )
+
+
 def defect_summary(manifest_df: DataFrame) -> DataFrame:
     """Defects by type, most common first."""
     return (
