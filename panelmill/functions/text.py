@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelmill import fixed
@@ -144,12 +144,11 @@ def outside_sql(c: str, lo=None, hi=None) -> str:
     return f"coalesce(NOT ({within_sql(c, lo, hi)}), FALSE)"
 
 
-def clean_numeric(c: str, lo=None, hi=None) -> Column:
-    """Number behind currency, percent or decimal-comma formatting; NULL if none or out of range.
+def number_sql(c: str) -> str:
+    """Number behind currency, percent or decimal-comma formatting of SQL text ``c``, else NULL.
 
     One formatting is removed, tested in that order, so ``1,234`` reads as 1.234 and ``-7,5`` as
-    -7.5, while ``+5`` is rejected.  ``c`` is a column name or SQL text.  Each step names its input
-    as rarely as possible, because expressions are inlined.
+    -7.5, while ``+5`` is rejected.  Plain numbers, the usual case, cost one regex test.
     """
     text = trim_sql(c)
     bare = (
@@ -157,13 +156,38 @@ def clean_numeric(c: str, lo=None, hi=None) -> Column:
         f"WHEN endswith({text}, '%') THEN translate({text}, '%', '') "
         f"ELSE regexp_replace({text}, {text_sql(fixed.NUMBER_COMMA_SIGNED)}, '$1.$2') END"
     )
-    number = f"regexp_extract({bare}, {text_sql(fixed.NUMBER_PLAIN)}, 0)"
-    value = f"TRY_CAST({number} AS {fixed.OFFICIAL_DECIMAL})"
+    read = f"regexp_extract({bare}, {text_sql(fixed.NUMBER_PLAIN)}, 0)"
+    plain = matches_sql(text, fixed.NUMBER_PLAIN)
+    return f"TRY_CAST(CASE WHEN {plain} THEN {text} ELSE {read} END AS {fixed.OFFICIAL_DECIMAL})"
+
+
+def clean_numeric(c: str, lo=None, hi=None) -> Column:
+    """The number of a column name or SQL text, NULL if there is none or it is out of range."""
+    value = number_sql(c)
     if lo is None and hi is None:
         return F.expr(value)
     return F.expr(f"CASE WHEN {within_sql(value, lo, hi)} THEN {value} END")
 
 
+def clean_numerics(df: DataFrame, specs: dict[str, tuple]) -> DataFrame:
+    """Add cleaned number columns: name to (SQL text, lo, hi).
+
+    Numbers are read in one projection and compared in the next, so each is read once; inside one
+    expression it would be read again for every mention.
+    """
+    read = df.withColumns({f"_number_{name}": F.expr(number_sql(c)) for name, (c, _, _) in specs.items()})
+
+    def bounded(name: str, lo, hi) -> Column:
+        number = f"_number_{name}"
+        if lo is None and hi is None:
+            return F.col(number)
+        return F.expr(f"CASE WHEN {within_sql(number, lo, hi)} THEN {number} END")
+
+    return read.withColumns({name: bounded(name, lo, hi) for name, (_, lo, hi) in specs.items()}).drop(
+        *[f"_number_{name}" for name in specs]
+    )
+
+
 def pick(name: Column | str, columns: list[str]) -> Column:
     """Value of the column whose name is in ``name``."""
     name = col(name)

@@ -195,8 +195,10 @@ def audit_rows(df: DataFrame, detectors: list[str], id_column: str = "raw_record
     """Audit rows of several detectors from one pass over the records.
 
     Entries are computed by a projection, exploded, and NULL ones dropped after that: dropping
-    them inside the array would need a lambda, and everything below a lambda is interpreted.
+    them inside the array would need a lambda, and everything below a lambda is interpreted.  The
+    arrays are never empty; ``explode_outer`` says the same as ``explode`` here, but a filter on
+    the size of the array, for which all entries would be computed twice, is not inferred from it.
     """
     entries = df.select(id_column, F.expr(f"array({', '.join(detectors)})").alias("issues"))
-    found = entries.select(id_column, F.explode("issues").alias("issue")).where("issue IS NOT NULL")
+    found = entries.select(id_column, F.explode_outer("issues").alias("issue")).where("issue IS NOT NULL")
     return found.select(id_column, "issue.*")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from panelmill import fixed
 from panelmill.functions.numeric import round_to_bigint
-from panelmill.functions.text import as_timestamp, clean_numeric, trim_sql, trimmed
+from panelmill.functions.text import as_timestamp, clean_numerics, trim_sql, trimmed
 from panelmill.operators.dedup import duplicate_issues, first_per_key, panel_keys, panel_order
 from panelmill.operators.detect import all_issues, audit_rows, entry, is_quarantined, when, year_fix
 from panelmill.operators.joins import DIM, resolve
@@ -114,10 +114,11 @@ def clean_panel(
     kept = first_per_key(annotated.where("NOT quarantined"), panel_keys(), panel_order())
     kept, columns = attach_fixes(kept, fixes, record_fixes)
     text = {c: f"coalesce(fix_{c}.value, {c})" if c in columns else c for c in bounds}
+    typed = clean_numerics(kept, {c: (text[c], lo, hi) for c, (lo, hi) in bounds.items()})
     dim = F.coalesce("by_name", "by_code")
-    values = {c: clean_numeric(text[c], lo, hi) for c, (lo, hi) in bounds.items()}
-    values["population"] = round_to_bigint(values["population"])
-    return kept.select(
+    values = {c: F.col(c) for c in bounds}
+    values["population"] = round_to_bigint("population")
+    return typed.select(
         ID,
         *[dim[c].alias(c) for c in DIM],
         F.coalesce(F.expr(year_fix()), trimmed("year")).try_cast("smallint").alias("year"),

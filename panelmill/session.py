@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # HotSpot never compiles a method above 8000 bytes; beyond it split methods are faster.
