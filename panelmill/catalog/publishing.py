@@ -524,7 +524,7 @@ def s9_full_refresh(i: Inputs):
 def refreshed(i: Inputs, with_bad: bool):
     """Table and log after an early batch, a later one and optionally a bad one."""
     i.staging = stage(i.staging, "feed")
-    table = VersionedTable(i.spark, scratch_dir(i.spark, "typed"), ["year"])
+    table = VersionedTable(i.spark, scratch_dir(i.spark, "typed"), "year")
     log = runlog.RunLog(i.spark, scratch_dir(i.spark, "runs"))
     batches = [early(filled(i)), late(filled(i))] + ([spoiled(i)] if with_bad else [])
     for batch in batches:

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from panelmill import fixed
 from panelmill.operators.keyed import cast_panel, upsert_rows
 from panelmill.plans.gates import first_failure, gate_report, require
 from panelmill.plans.runlog import RunLog
 from panelmill.session import stage
-from panelmill.sources.versions import VersionedTable
+from panelmill.sources.versions import Version, VersionedTable
 
 KEYS = ["country_code", "year"]
 
@@ -22,6 +23,21 @@ def upsert_panel(target: DataFrame, staging: DataFrame) -> DataFrame:
     return upsert_rows(target, cast_panel(staging), KEYS)
 
 
+def write_upsert(table: VersionedTable, typed: DataFrame) -> Version:
+    """Write (not publish) the table after an upsert of typed rows with unique keys.
+
+    In a partitioned table only the periods of the batch are read and rewritten: the period is
+    part of the key, so no other partition can change.
+    """
+    if table.current() is None:
+        return table.write(typed)
+    if table.partition is None:
+        return table.write(upsert_rows(table.read(), typed, KEYS))
+    touched = table.values_of(typed)
+    old = table.read().where(F.col(table.partition).isin(touched))
+    return table.write(upsert_rows(old, typed, KEYS), keep=table.untouched(touched))
+
+
 def refresh(
     staging: DataFrame,
     table: VersionedTable,
@@ -43,8 +59,7 @@ def refresh(
         batch = stage(staging.select(*fixed.SOURCE_COLUMNS), "staging")
         report = first_failure(gate_report(batch, codes, source, first, last), expected_rows)
         counts = require(report)
-        typed = upsert_panel(table.read(), batch) if table.current() else cast_panel(batch)
-        version = table.write(typed)
+        version = write_upsert(table, cast_panel(batch))
         published = table.read(version)
         typed_rows = published.count()
         table.publish(version, run_id)

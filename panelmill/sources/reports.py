@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from panelmill import fixed
 from panelmill.operators.validate import sum_counts
 from panelmill.sources.landing import read_text_landing
-from panelmill.sources.versions import VersionedTable
+from panelmill.sources.versions import Version, VersionedTable
 
 
 def export_csv(df: DataFrame, path: str, order: list) -> None:
@@ -42,13 +42,13 @@ def publish_report(
     spark: SparkSession = df.sparkSession
     if df.columns != columns:
         raise RuntimeError(fixed.MESSAGE_REPORT_COLUMNS)
-    version = f"v-{uuid.uuid4().hex}"
-    export_csv(df, f"{base}/{version}", order)
-    written = read_text_landing(spark, f"{base}/{version}", columns)
+    folder = f"version={uuid.uuid4().hex}"
+    export_csv(df, f"{base}/{folder}", order)
+    written = read_text_landing(spark, f"{base}/{folder}", columns)
     message = report_gate(written, key, rows).first()["message"]
     if message is not None:
         raise RuntimeError(message)
-    VersionedTable(spark, base).publish(version)
+    VersionedTable(spark, base).publish(Version((folder,)))
     return written
 
 
@@ -57,4 +57,4 @@ def current_report(spark: SparkSession, base: str, columns: list[str]) -> DataFr
     version = VersionedTable(spark, base).current()
     if version is None:
         raise FileNotFoundError(f"no report is published below {base}")
-    return read_text_landing(spark, f"{base}/{version}", columns)
+    return read_text_landing(spark, f"{base}/{version.parts[0]}", columns)

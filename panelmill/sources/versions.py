@@ -4,54 +4,88 @@ A version is written completely to a folder of its own.  It becomes visible by o
 pointer row, the last step; readers take the newest pointer.  A failed or repeated write leaves an
 unreferenced folder and changes nothing for readers.  Nothing is ever overwritten in place, so a
 table can be read while its successor is written.
+
+A partitioned table lists its partition folders in the pointer, so a new version can keep the
+untouched partitions of the old one where they are and write only the others.
 """
 
 from __future__ import annotations
 
 import time
 import uuid
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-POINTER = "version string, published_ns bigint, run_id string"
+POINTER = "parts array<string>, published_ns bigint, run_id string"
+
+
+@dataclass(frozen=True)
+class Version:
+    """A written version: its folders below the base of the table."""
+
+    parts: tuple[str, ...]
 
 
 class VersionedTable:
-    """A table below ``base``, published version by version."""
+    """A table below ``base``, published version by version, optionally partitioned by a column.
 
-    def __init__(self, spark: SparkSession, base: str, partition_by: list[str] = ()):
+    The partition column must have few values (periods): their list is kept in the pointer.
+    """
+
+    def __init__(self, spark: SparkSession, base: str, partition: str | None = None):
         self.spark = spark
         self.base = base.rstrip("/")
-        self.partition_by = list(partition_by)
+        self.partition = partition
 
-    def current(self) -> str | None:
-        """Folder name of the newest version, None before the first publication."""
+    def _pointer(self) -> Row | None:
         try:
             pointers = self.spark.read.schema(POINTER).parquet(f"{self.base}/_pointers")
         except AnalysisException as error:
             if "PATH_NOT_FOUND" in str(error):
                 return None
             raise
-        return pointers.agg(F.max_by("version", "published_ns").alias("v")).first()["v"]
+        return pointers.orderBy(F.desc("published_ns")).first()
+
+    def current(self) -> Version | None:
+        """The newest published version, None before the first publication."""
+        pointer = self._pointer()
+        return Version(tuple(pointer["parts"])) if pointer else None
 
-    def read(self, version: str | None = None) -> DataFrame:
+    def read(self, version: Version | None = None) -> DataFrame:
+        """A version, the current one by default; filters on the partition column skip folders."""
         version = version or self.current()
         if version is None:
             raise FileNotFoundError(f"nothing is published below {self.base}")
-        return self.spark.read.parquet(f"{self.base}/{version}")
+        paths = [f"{self.base}/{part}" for part in version.parts]
+        return self.spark.read.option("basePath", self.base).parquet(*paths).drop("version")
+
+    def values_of(self, df: DataFrame) -> list:
+        """The distinct partition values of a frame."""
+        return [r[0] for r in df.select(self.partition).distinct().collect()]
+
+    def untouched(self, values: list) -> tuple[str, ...]:
+        """Folders of the current version that hold none of the partition values."""
+        ends = tuple(f"/{self.partition}={v}" for v in values)
+        return tuple(part for part in self.current().parts if not part.endswith(ends))
 
-    def write(self, df: DataFrame) -> str:
-        """Write a version without publishing it."""
-        version = f"v-{uuid.uuid4().hex}"
-        writer = df.write.partitionBy(*self.partition_by) if self.partition_by else df.write
-        writer.parquet(f"{self.base}/{version}")
-        return version
+    def write(self, df: DataFrame, keep: tuple[str, ...] = ()) -> Version:
+        """Write a version without publishing it; ``keep`` are folders taken over as they are."""
+        name = f"version={uuid.uuid4().hex}"
+        if self.partition is None:
+            df.write.parquet(f"{self.base}/{name}")
+            return Version((name,))
+        # Rebalanced by partition value: no task writes a sliver of every partition, and a large
+        # partition is still split over several tasks.
+        df.hint("rebalance", self.partition).write.partitionBy(self.partition).parquet(f"{self.base}/{name}")
+        values = self.values_of(self.spark.read.parquet(f"{self.base}/{name}"))
+        return Version((*keep, *[f"{name}/{self.partition}={v}" for v in sorted(values)]))
 
-    def publish(self, version: str, run_id: str = "") -> None:
+    def publish(self, version: Version, run_id: str = "") -> None:
         """Make a written version the current one."""
-        row = self.spark.createDataFrame([(version, time.time_ns(), run_id)], POINTER)
+        row = self.spark.createDataFrame([(list(version.parts), time.time_ns(), run_id)], POINTER)
         row.coalesce(1).write.mode("append").parquet(f"{self.base}/_pointers")
 
     def overwrite(self, df: DataFrame, run_id: str = "") -> DataFrame:
