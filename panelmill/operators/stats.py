@@ -132,7 +132,7 @@ def avg_change(
         df = df.join(members.select(key).distinct(), key, "left_semi")
 
     def at(p: int) -> Column:
-        return mean_dec(F.when(F.col(period) == p, F.col(measure)), 6)
+        return mean_dec(F.when(F.col(period) == p, F.col(measure)), 10)
 
     return (
         df.groupBy(key)

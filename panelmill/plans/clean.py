@@ -136,7 +136,11 @@ def audit_log(
     fixes: DataFrame | None = None,
     record_fixes: DataFrame | None = None,
 ) -> DataFrame:
-    """One row per record, column and issue: detectors, losing duplicates, documented corrections."""
+    """One row per record, column and issue: detectors, losing duplicates, documented corrections.
+
+    ``annotated`` is read for each of the three and twice for the duplicates; put it through
+    ``session.stage`` first unless it is cheap to compute again.
+    """
     log = audit_rows(annotated, all_issues(first, last, bounds))
     log = log.unionByName(duplicate_issues(annotated.where("NOT quarantined")))
     if fixes is None and record_fixes is None:

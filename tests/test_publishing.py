@@ -170,16 +170,19 @@ def test_fingerprint_sees_values_and_multiplicity(spark):
 
 
 def test_coverage(spark):
-    data = [("pop", "ZAF", 2020, 0), ("pop", "ZAF", 2021, None), ("pop", "NGA", 2020, 5)]
+    # Entity q: a zero, a missing value, nothing for the last period, one period too many.
+    data = [("m", "q", 11, 0), ("m", "q", 12, None), ("m", "q", 14, 3), ("m", "stranger", 11, None)]
     long_df = spark.createDataFrame(data, "indicator string, entity string, year int, value int")
-    entities = spark.createDataFrame([("ZAF",)], "code string")
-    got = {r["indicator"]: r.asDict() for r in coverage.coverage(long_df, entities, "code", 2020, 2022, ["pop", "gdp"]).collect()}
-    assert got["pop"] == {"indicator": "pop", "expected": 3, "available": 1, "unexpected": 1, "missing": 2}
-    assert got["gdp"] == {"indicator": "gdp", "expected": 3, "available": 0, "unexpected": 0, "missing": 3}
-    lacking = coverage.missing_list(long_df, entities, "code", 2020, 2022, ["pop"])
-    assert rows(lacking, "entity", "year") == [("ZAF", 2021), ("ZAF", 2022)]
+    entities = spark.createDataFrame([("q",), ("r",)], "code string")
+    got = {r["indicator"]: r.asDict() for r in coverage.coverage(long_df, entities, "code", 11, 13, ["m", "n"]).collect()}
+    assert got["m"] == {"indicator": "m", "expected": 6, "available": 1, "unexpected": 2, "missing": 5}
+    assert got["n"] == {"indicator": "n", "expected": 6, "available": 0, "unexpected": 0, "missing": 6}
+    lacking = coverage.missing_list(long_df, entities, "code", 11, 13, ["m"])
+    assert rows(lacking, "entity", "year") == [("q", 12), ("q", 13), ("r", 11), ("r", 12), ("r", 13)]
     with pytest.raises(ValueError):
-        coverage.coverage(long_df, entities, "code", 2021, 2020, ["pop"])
+        coverage.coverage(long_df, entities, "code", 13, 11, ["m"])
+    sets = coverage.cell_sets(long_df, entities, "code", 11, 13).first().asDict()
+    assert sets == {"common": 2, "only_present": 2, "only_expected": 4}
 
 
 def test_flatten_pages(spark):
@@ -199,21 +202,26 @@ def test_flatten_pages(spark):
 
 
 def test_retention(spark):
-    names = [f"2026-01-0{d}_000000_000000Z" for d in range(1, 6)] + ["notes", "2026-99-01_000000_000000Z"]
-    listing = spark.createDataFrame([(n, "s") for n in names], "name string, group string")
-    protected = listing.where(F.col("name") == names[1])
+    months = ["03", "05", "08", "09", "11", "12"]
+    names = [f"2025-{m}-17_101500_000042Z" for m in months]
+    other = ["readme", "2025-14-17_101500_000042Z", names[0] + ".bak"]
+    listing = spark.createDataFrame([(n, "s") for n in names + other], "name string, group string")
+    nothing = listing.limit(0)
 
-    def candidates(now, keep=protected.limit(0)):
+    def candidates(now, protected=nothing):
         out = retention.retention_candidates(
-            listing, fixed.SNAPSHOT_NAME, fixed.SNAPSHOT_FORMAT, now, fixed.SNAPSHOT_DAYS, keep
+            listing, fixed.SNAPSHOT_NAME, fixed.SNAPSHOT_FORMAT, now, fixed.SNAPSHOT_DAYS, protected
         )
         return [r[0] for r in rows(out, "name")]
 
-    late = datetime.datetime(2027, 1, 1, tzinfo=datetime.timezone.utc)
-    assert candidates(late) == names[:2]
-    assert candidates(late, protected) == names[:1]
-    assert candidates(datetime.datetime(2026, 2, 1, tzinfo=datetime.timezone.utc)) == []
-    edge = datetime.datetime(2026, 1, 2, tzinfo=datetime.timezone.utc) + datetime.timedelta(days=fixed.SNAPSHOT_DAYS)
+    def utc(*parts):
+        return datetime.datetime(*parts, tzinfo=datetime.timezone.utc)
+
+    assert candidates(utc(2030, 1, 1)) == names[:3]
+    assert candidates(utc(2030, 1, 1), listing.where(F.col("name") == names[1])) == [names[0], names[2]]
+    assert candidates(utc(2025, 12, 18)) == names[:2]
+    # Strictly older: an entry exactly at the cut-off stays.
+    edge = utc(2025, 5, 17, 10, 15, 0, 42) + datetime.timedelta(days=fixed.SNAPSHOT_DAYS)
     assert candidates(edge) == names[:1]
 
 
