@@ -82,9 +82,9 @@ least AS (SELECT node, min(other) AS component_id FROM reach GROUP BY node)
 CHECKS = {
     "op2_embedding_near_dedup": f"""
 WITH RECURSIVE v AS (
-  SELECT vec_id, label, list_transform(embedding, x -> x::DOUBLE) AS e FROM embeddings),
-ok AS (SELECT * FROM v WHERE label IS NOT NULL AND len(e) > 0 AND len(list_filter(e, x -> x IS NULL OR NOT isfinite(x))) = 0
-       AND len(list_filter(e, x -> x <> 0)) > 0),
+  SELECT vec_id, label, [x::DOUBLE FOR x IN embedding] AS e FROM embeddings),
+ok AS (SELECT * FROM v WHERE label IS NOT NULL AND len(e) > 0 AND len([x FOR x IN e IF x IS NULL OR NOT isfinite(x)]) = 0
+       AND len([x FOR x IN e IF x <> 0]) > 0),
 links AS (SELECT x.vec_id AS a, y.vec_id AS b FROM ok x JOIN ok y ON x.label = y.label AND len(x.e) = len(y.e) AND x.vec_id <> y.vec_id
           WHERE list_cosine_similarity(x.e, y.e) >= 0.93),
 {REACH}
