@@ -4,19 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def block_pairs(members: DataFrame, group: str, node: str, size: int) -> DataFrame:
-    """Members of groups of two or more, once per pair of blocks in which they are compared.
+def block_pairs(members: DataFrame, group: str, node: str, size: int, least: int = 2) -> DataFrame:
+    """Members of groups of at least ``least``, once per pair of blocks in which they are compared.
 
     Groups are counted first (one row per task and group is shuffled).  A group of n members is cut
     by a hash of the member into about n / size blocks, columns ``chunk`` and, for the pair of
     blocks, ``i`` <= ``j``.  Every two members of a group meet in exactly one pair of blocks.
     """
-    sizes = members.groupBy(group).agg(F.count("*").alias("members")).where("members > 1")
+    sizes = members.groupBy(group).agg(F.count("*").alias("members")).where(F.col("members") >= least)
     found = members.join(sizes, group)
     blocks = F.ceil(F.col("members") / size).cast("int")
     found = found.withColumn("blocks", blocks).withColumn("chunk", F.pmod(F.xxhash64(node, F.lit(3)), "blocks").cast("int"))
@@ -25,17 +26,20 @@ def block_pairs(members: DataFrame, group: str, node: str, size: int) -> DataFra
     return found.select(*members.columns, "chunk", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"))
 
 
-def runs(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
+def runs(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[dict[str, np.ndarray]]:
     """Groups of two or more consecutive rows with equal keys, also across batches of a sorted partition."""
-    rest: pd.DataFrame | None = None
+    rest: dict[str, np.ndarray] | None = None
     for batch in batches:
         if not len(batch):
             continue
-        whole = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
-        change = (whole[keys] != whole[keys].shift()).any(axis=1).to_numpy().nonzero()[0].tolist()
-        for start, end in zip(change, change[1:], strict=False):
+        whole = {c: batch[c].to_numpy() for c in batch.columns}
+        if rest is not None:
+            whole = {c: np.concatenate([rest[c], v]) for c, v in whole.items()}
+        new = np.logical_or.reduce([whole[k][1:] != whole[k][:-1] for k in keys])
+        edges = np.r_[0, np.flatnonzero(new) + 1]
+        for start, end in zip(edges[:-1], edges[1:], strict=True):
             if end - start > 1:
-                yield whole.iloc[start:end].reset_index(drop=True)
-        rest = whole.iloc[change[-1] :].reset_index(drop=True)
-    if rest is not None and len(rest) > 1:
+                yield {c: v[start:end] for c, v in whole.items()}
+        rest = {c: v[edges[-1] :] for c, v in whole.items()}
+    if rest is not None and len(rest[keys[0]]) > 1:
         yield rest

@@ -28,8 +28,7 @@ def components(edges: DataFrame) -> DataFrame:
         # Large step: both directions, larger neighbours and the node itself go to the least one.
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = stage(large.distinct(), "large")
+        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         # Small step: smaller neighbours and the node itself go to the least one.
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u")

@@ -77,8 +77,8 @@ def near(
             x = np.stack(group["embedding"]).astype(float)
             x /= np.abs(x).max(1, keepdims=True)
             x /= np.linalg.norm(x, axis=1)[:, None]
-            side = group["chunk"].to_numpy()
-            i, j, t = group["i"].iloc[0], group["j"].iloc[0], group["t"].iloc[0]
+            side = group["chunk"]
+            i, j, t = group["i"][0], group["j"][0], group["t"][0]
             left, right = np.flatnonzero(side == i), np.flatnonzero(side == j)
             if not len(left) or not len(right):
                 continue
@@ -92,11 +92,11 @@ def near(
             a, b = left[a[fresh]], right[b[fresh]]
             if not len(a):
                 continue
-            weight, node = group["weight"].to_numpy(), group["node"].to_numpy()
-            count = np.bincount(a, weight[b], len(group)).astype(np.int64)
+            weight, node = group["weight"], group["node"]
+            count = np.bincount(a, weight[b], len(side)).astype(np.int64)
             if i != j:
-                count += np.bincount(b, weight[a], len(group)).astype(np.int64)
-            parent = forest(len(group), a, b)
+                count += np.bincount(b, weight[a], len(side)).astype(np.int64)
+            parent = forest(len(side), a, b)
             has = count > 0
             yield pd.DataFrame({"node": node[has], "links": count[has], "other": node[parent][has]})
 
