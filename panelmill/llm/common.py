@@ -17,6 +17,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SHINGLE = 5
+# Rows that may be broadcast: 200 thousand of some tens of bytes.
+BROADCAST_ROWS = 200_000
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -35,6 +37,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """Broadcast only what has been counted as small; otherwise the join is left to the optimizer."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
 def fold(key: Column, folds: int) -> Column:
     """The crc32 of the key as text, modulo ``folds``; null for a null key."""
     return F.crc32(key.cast("string")) % folds
@@ -76,7 +83,7 @@ class Memo(dict):
 
 
 WORD_HASH = Memo(xxhash.xxh3_64_intdigest)
-_FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -98,7 +105,9 @@ def shingle_set(text: str | None) -> np.ndarray:
     if len(h) < SHINGLE:
         h = np.concatenate([h, np.arange(SHINGLE - len(h), dtype=np.uint64)])
     n = len(h) - SHINGLE + 1
-    x = h[:n] * _FACTORS[0]
+    x = h[:n].copy()
     for i in range(1, SHINGLE):
-        x = mix(x) + h[i : i + n] * _FACTORS[i]
-    return np.unique(mix(x))
+        x *= _FACTOR
+        x += h[i : i + n]
+    x = np.sort(mix(x))
+    return x[np.r_[True, x[1:] != x[:-1]]]

@@ -5,12 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelmill.llm.common import SHINGLE, text_of, words_of
+from panelmill.llm.common import SHINGLE, small, text_of, words_of
 from panelmill.session import stage
 
-# Rows of an index that may be broadcast: 200 thousand of about 50 bytes.
-BROADCAST_ROWS = 200_000
-
 
 def shingles(words: str, make) -> Column:
     """``make`` of every run of five words; of the whole sequence where there are one to four words."""
@@ -19,11 +16,6 @@ def shingles(words: str, make) -> Column:
     return F.when(n > 0, runs)
 
 
-def small(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast only what has been counted as small; otherwise the join is left to the optimizer."""
-    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
-
-
 def matches(docs: DataFrame, benchmark: DataFrame, percent: int = 75) -> DataFrame:
     """Rows (doc_id, item_id, n_shingles, n_shared, containment), one per document and item found in it.
 
