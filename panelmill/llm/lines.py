@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelmill.llm.common import text_of, words_of
+from panelmill.session import stage
 
 
 def doubled(names: str, half: int):
@@ -98,7 +99,7 @@ def dedup(docs: DataFrame, least: int = 20) -> DataFrame:
     Null texts stay null and empty ones empty.  Rows that repeat id and text are one document and
     get the same result.  Added columns: n_lines (with words), n_deleted.
     """
-    runs = named_runs(docs, least)
+    runs = stage(named_runs(docs, least), "runs")
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash", "start")
     first = runs.groupBy("length", "name", "check").agg(F.min(place).alias("first"), F.max(place).alias("final"))
     first = first.where("first != final").select("length", "name", "check", "first")
