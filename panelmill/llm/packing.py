@@ -16,25 +16,46 @@ from panelmill.llm.common import Memo
 from panelmill.session import stage
 
 END = 0
-ENCODERS: dict[str, Memo] = {}
+# A word of this one control character has an id of its own, which no other character's bytes give.
+MARK = "\x00"
+ENCODERS: dict[str, Encoder] = {}
 
 
-def encoder(path: str) -> Memo:
-    """Word to its ids as little-endian unsigned 32-bit numbers, once per worker.
+class Encoder:
+    """Ids of words, as little-endian unsigned 32-bit numbers, remembered per worker.
 
     The vocabulary's rules never look across ASCII white space, which they drop, so that the ids of a
-    text are those of its white-space separated parts one after the other.
+    text are those of its white-space separated parts one after the other.  New words are
+    encoded together, with marks between them by which their ids are told apart.
     """
-    if path not in ENCODERS:
+
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True
+        self.memo = Memo(self.alone, 1_000_000)
+        (self.mark,) = np.frombuffer(self.alone(MARK.encode()), dtype="<u4")
+
+    def alone(self, word: bytes) -> bytes:
+        return np.array(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-        def ids(word: bytes) -> bytes:
-            return np.array(tokenizer.encode(word.decode(), add_special_tokens=False).ids, dtype="<u4").tobytes()
+    def text(self, text: str) -> bytes:
+        words = text.encode().split()
+        new = [w for w in set(words) if w not in self.memo and MARK.encode() not in w]
+        if new and len(self.memo) + len(new) <= self.memo.most:
+            together = f" {MARK} ".join(w.decode() for w in new)
+            ids = np.array(self.tokenizer.encode_batch_fast([together], add_special_tokens=False)[0].ids, dtype="<u4")
+            data, start = ids.tobytes(), 0
+            for word, end in zip(new, [*np.flatnonzero(ids == self.mark).tolist(), len(ids)], strict=True):
+                self.memo[word] = data[4 * start : 4 * end]
+                start = end + 1
+        return b"".join(map(self.memo.__getitem__, words))
 
-        ENCODERS[path] = Memo(ids)
+
+def encoder(path: str) -> Encoder:
+    if path not in ENCODERS:
+        ENCODERS[path] = Encoder(path)
     return ENCODERS[path]
 
 
@@ -51,7 +72,7 @@ def pieces(docs: DataFrame, size: int, path: str) -> DataFrame:
         for batch in rows:
             out: list[list] = [[] for _ in range(7)]
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                data = b"".join(map(encode.__getitem__, text.encode().split())) if text else b""
+                data = encode.text(text) if text else b""
                 data += END.to_bytes(4, "little")
                 for n, at in enumerate(range(0, len(data), 4 * size)):
                     ids = data[at : at + 4 * size]
