@@ -34,7 +34,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.memo = Memo(self.alone, 1_000_000)
+        self.memo = Memo(self.alone, 1_500_000)
         (self.mark,) = np.frombuffer(self.alone(MARK.encode()), dtype="<u4")
 
     def alone(self, word: bytes) -> bytes:
@@ -43,7 +43,10 @@ class Encoder:
     def text(self, text: str) -> bytes:
         words = text.encode().split()
         new = [w for w in set(words) if w not in self.memo and MARK.encode() not in w]
-        if new and len(self.memo) + len(new) <= self.memo.most:
+        if len(self.memo) + len(new) > self.memo.most:
+            self.memo.clear()
+            new = [w for w in set(words) if MARK.encode() not in w]
+        if new:
             together = f" {MARK} ".join(w.decode() for w in new)
             ids = np.array(self.tokenizer.encode_batch_fast([together], add_special_tokens=False)[0].ids, dtype="<u4")
             data, start = ids.tobytes(), 0
