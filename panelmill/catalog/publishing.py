@@ -168,6 +168,20 @@ def s4_flatten_pages(i: Inputs):
     return payload.flatten_pages(pages(i))
 
 
+@query(
+    "s4_bad_pages",
+    """SELECT count(*) + count(*) FILTER (WHERE k % 53 = 4) + count(*) FILTER (WHERE k % 59 = 5) AS pages,
+       count(*) FILTER (WHERE k % 53 = 4) AS malformed_pages, 6 * count(*) FILTER (WHERE k % 59 = 5) AS bad_periods FROM order_facts""",
+    "order_facts",
+)
+def s4_bad_pages(i: Inputs):
+    """Pages cut short and periods that are no year, next to good ones."""
+    good = pages(i)
+    cut = good.where("page % 53 = 4").selectExpr("page", "left(body, length(body) - 9) AS body")
+    dated = good.where("page % 59 = 5").selectExpr("page", """regexp_replace(body, '"date":"', '"date":"Q') AS body""")
+    return payload.page_problems(good.union(cut).union(dated))
+
+
 @query(
     "s5_code_fallback",
     """SELECT indicator, CASE WHEN indicator = 'co2_emissions_per_capita' THEN 'second' ELSE 'first' END AS code,
@@ -565,32 +579,35 @@ def m6_publish(i: Inputs):
 
 
 def run_events(i: Inputs) -> DataFrame:
-    """Run events made of the event table: one run per user, views start, purchases and errors end."""
-    return i.events.where("event_type IN ('view', 'purchase', 'error')").selectExpr(
+    """Run events made of the event table, one run per user: signups and views start, purchases and
+    clicks end well, errors end in failure."""
+    return i.events.selectExpr(
         "CAST(user_id AS STRING) AS run_id",
         "'refresh' AS pipeline_name",
-        "CASE event_type WHEN 'view' THEN 'running' WHEN 'purchase' THEN 'succeeded' ELSE 'failed' END AS status",
+        "CASE WHEN event_type IN ('signup', 'view') THEN 'running' WHEN event_type = 'error' THEN 'failed' ELSE 'succeeded' END AS status",
         "unix_micros(CAST(ts AS TIMESTAMP)) * 1000 AS at_ns",
-        "CASE WHEN event_type = 'purchase' THEN event_id END AS staging_rows",
-        "CASE WHEN event_type = 'purchase' THEN event_id END AS typed_rows",
+        "CASE WHEN event_type IN ('purchase', 'click') THEN event_id END AS staging_rows",
+        "CASE WHEN event_type IN ('purchase', 'click') THEN event_id END AS typed_rows",
         "CASE WHEN event_type = 'error' THEN props END AS error_message",
     )
 
 
 define(
     "runs",
-    """SELECT CAST(user_id AS VARCHAR) AS run_id, 'refresh' AS pipeline_name,
-     CAST(epoch_us(min(ts) FILTER (WHERE event_type = 'view')) * 1000 AS BIGINT) AS started_ns,
-     CAST(epoch_us(min(ts) FILTER (WHERE event_type <> 'view')) * 1000 AS BIGINT) AS finished_ns,
-     coalesce(arg_min(CASE event_type WHEN 'purchase' THEN 'succeeded' ELSE 'failed' END, ts) FILTER (WHERE event_type <> 'view'), 'running') AS status,
-     CASE WHEN arg_min(event_type, ts) FILTER (WHERE event_type <> 'view') = 'purchase'
-          THEN arg_min(event_id, ts) FILTER (WHERE event_type <> 'view') END AS staging_rows,
-     CASE WHEN arg_min(event_type, ts) FILTER (WHERE event_type <> 'view') = 'error'
-          THEN arg_min(props, ts) FILTER (WHERE event_type <> 'view') END AS error_message
-  FROM events WHERE event_type IN ('view', 'purchase', 'error') GROUP BY user_id HAVING count(*) FILTER (WHERE event_type = 'view') > 0""",
+    """SELECT CAST(b.user_id AS VARCHAR) AS run_id, 'refresh' AS pipeline_name, b.began * 1000 AS started_ns,
+     e.at_us * 1000 AS finished_ns, CASE WHEN e.user_id IS NULL THEN 'running' WHEN e.bad = 1 THEN 'failed' ELSE 'succeeded' END AS status,
+     CASE WHEN e.bad = 0 THEN e.event_id END AS staging_rows, CASE WHEN e.bad = 1 THEN e.props END AS error_message,
+     (e.at_us - b.began) / 1e6 AS duration_seconds
+  FROM (SELECT user_id, min(epoch_us(ts)) AS began FROM events WHERE event_type IN ('signup', 'view') GROUP BY user_id) b
+  LEFT JOIN (
+    SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY at_us, bad DESC, event_id) AS nth
+    FROM (SELECT x.user_id, epoch_us(x.ts) AS at_us, CASE x.event_type WHEN 'error' THEN 1 ELSE 0 END AS bad, x.event_id, x.props
+          FROM events x WHERE x.event_type NOT IN ('signup', 'view') AND EXISTS (
+            SELECT 1 FROM events s WHERE s.user_id = x.user_id AND s.event_type IN ('signup', 'view') AND s.ts <= x.ts))
+  ) e ON e.user_id = b.user_id AND e.nth = 1""",
     [],
 )
-RUN_COLUMNS = ["run_id", "pipeline_name", "started_ns", "finished_ns", "status", "staging_rows", "error_message"]
+RUN_COLUMNS = ["run_id", "pipeline_name", "started_ns", "finished_ns", "status", "staging_rows", "error_message", "duration_seconds"]
 
 
 @query("l_run_log", f"SELECT {', '.join(RUN_COLUMNS)} FROM runs", "runs")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from panelmill import fixed
 from panelmill.functions.text import col
 
 WIDE = "decimal(38,10)"
@@ -32,9 +33,12 @@ def safe_ln(c: Column | str, digits: int = 4) -> Column:
 
 
 def mean_dec(c: Column | str, digits: int, divisor: int = 1) -> Column:
-    """Exact decimal mean (aggregate), optionally scaled down, rounded to ``digits``."""
+    """Exact decimal mean (aggregate), optionally scaled down, rounded to ``digits``.
+
+    Values are summed as the widest decimal with all fraction digits, as a sum of bigints overflows.
+    """
     c = col(c)
-    return F.round(F.sum(c).cast(WIDE) / F.nullif(F.count(c) * divisor, F.lit(0)), digits)
+    return F.round(F.sum(c.cast(fixed.OFFICIAL_DECIMAL)).cast(WIDE) / F.nullif(F.count(c) * divisor, F.lit(0)), digits)
 
 
 def safe_corr(y: Column | str, x: Column | str) -> Column:

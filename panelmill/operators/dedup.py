@@ -78,7 +78,7 @@ def exact_duplicates(df: DataFrame, columns: list[str], id_column: str) -> DataF
 def exact_duplicate_members(df: DataFrame, columns: list[str], id_column: str) -> DataFrame:
     """Every record that has an exact copy, with the size and lowest id of its group."""
     groups = exact_duplicates(df, columns, id_column).drop("last_record_id")
-    return join_groups(df.select(id_column, *columns), groups, columns, "duplicate_count", id_column)
+    return join_groups(df.select(id_column, *columns), groups, columns)
 
 
 def _with_keys(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -116,7 +116,7 @@ def key_duplicate_names(df: DataFrame, keys: list[str], name: str, id_column: st
     """The distinct names of every duplicated key, one per row, with their record counts."""
     groups = key_duplicates(df, keys, name, id_column).select(*keys, "record_count", "name_count")
     names = _names_per_key(df, keys, name, id_column).where(F.col(name).isNotNull())
-    return join_groups(names, groups, keys, "name_count", "first_record_id").select(
+    return join_groups(names, groups, keys).select(
         *keys, name, "records", "record_count"
     )
 
@@ -125,7 +125,7 @@ def key_duplicate_members(df: DataFrame, keys: list[str], name: str, id_column:
     """Every record of a duplicated key."""
     rows = _with_keys(df.select(id_column, *keys), keys)
     groups = rows.groupBy(*keys).agg(F.count("*").alias("record_count")).where("record_count > 1")
-    return join_groups(rows, groups, keys, "record_count", id_column)
+    return join_groups(rows, groups, keys)
 
 
 def dup_keys(df: DataFrame, keys: list[str], count_name: str = "occurrences") -> DataFrame:

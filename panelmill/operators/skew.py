@@ -7,52 +7,20 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HOT_GROUPS = 1000
-SALTS = 64
-
 
 def same(pairs: list[tuple[Column, Column]]) -> Column:
     """NULL-safe equality of all pairs, usable as an equi-join condition."""
     return reduce(lambda a, b: a & b, [x.eqNullSafe(y) for x, y in pairs])
 
 
-def join_groups(
-    rows: DataFrame, groups: DataFrame, keys: list[str], size: str, spread: str, salts: int = SALTS
-) -> DataFrame:
+def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
     """Inner join of rows with the one row of ``groups`` for their (NULL-safe) keys.
 
-    ``size`` is the number of rows of a group.  The largest groups are salted: their one row is
-    repeated per salt and their members are spread over the salts by the column ``spread``.  The
-    list of hot groups is a top-k of key hashes, so at most 1000 longs are broadcast whatever the
-    table holds, and any group outside it has under 0.1 % of the rows.  Two groups with the same
-    hash are both salted, on both sides, which costs repeats but changes no result.
+    An equi-join on a hash of the keys, verified by the keys themselves.  A hot group meets one row,
+    so that adaptive execution can split its rows among tasks, however many such groups there are.
     """
     hashed = F.xxhash64(*keys)
-    hot = (
-        groups.orderBy(F.desc(size)).limit(HOT_GROUPS).select(hashed.alias("_hot")).distinct()
-    )
-
-    def mark(df: DataFrame) -> DataFrame:
-        return df.withColumn("_hash", F.xxhash64(*keys)).join(
-            F.broadcast(hot), F.col("_hash") == F.col("_hot"), "left"
-        )
-
-    is_hot = F.col("_hot").isNotNull()
-    salted_rows = (
-        mark(rows)
-        .withColumn("_salt", F.when(is_hot, F.pmod(F.xxhash64(spread), F.lit(salts))).otherwise(F.lit(0)))
-        .drop("_hot")
-    )
-    last = F.when(is_hot, F.lit(salts - 1)).otherwise(F.lit(0)).cast("bigint")
-    copies = F.sequence(F.lit(0).cast("bigint"), last)
-    salted_groups = mark(groups).withColumn("_copy", F.explode(copies)).drop("_hot")
-    renamed = salted_groups.withColumnsRenamed({k: f"_g_{k}" for k in ["_hash", *keys]})
+    right = groups.withColumn("_hash", hashed).withColumnsRenamed({k: f"_g_{k}" for k in ["_hash", *keys]})
     # The hash goes first: it settles almost every comparison of the merge join.
-    condition = (
-        (F.col("_hash") == F.col("_g__hash"))
-        & (F.col("_salt") == F.col("_copy"))
-        & same([(F.col(k), F.col(f"_g_{k}")) for k in keys])
-    )
-    return salted_rows.join(renamed, condition).drop(
-        "_hash", "_salt", "_copy", "_g__hash", *[f"_g_{k}" for k in keys]
-    )
+    condition = (F.col("_hash") == F.col("_g__hash")) & same([(F.col(k), F.col(f"_g_{k}")) for k in keys])
+    return rows.withColumn("_hash", hashed).join(right, condition).drop("_hash", "_g__hash", *[f"_g_{k}" for k in keys])

@@ -55,18 +55,20 @@ def gate_report(
     )
     values = any_of(
         [
-            blank_to_null(c).isNull() | ~passed(is_valid(c, "numeric")) | ~passed(is_finite(c))
+            # A valid number that doesn't fit the decimal type is a violation, never a silent NULL.
+            blank_to_null(c).isNull() | ~passed(is_valid(c, "numeric")) | ~passed(is_finite(c)) | as_decimal(c).isNull()
             for c in fixed.INDICATORS
         ]
     )
-    population = as_decimal("population", "decimal(38,10)")
+    population = as_decimal("population")
     ranges = any_of(
         [
             out_of_range(as_integer("year"), first, last),
             *[out_of_range(as_decimal(c), lo, hi) for c, (lo, hi) in OPEN_BOUNDS.items()],
             passed(population <= 0),
             passed(population > fixed.MAX_POPULATION),
-            passed(population != F.floor(population)),
+            # On the text as well: a cast rounds digits beyond the scale.
+            passed(population != F.floor(population)) | passed(F.col("population").rlike(r"^\s*[+-]?\d*\.0*[1-9]\d*\s*$")),
             passed(as_decimal("life_expectancy") <= 0),
         ]
     )
@@ -125,3 +127,13 @@ def fix_conditions(clean: DataFrame, audit: DataFrame, fixes: DataFrame, raw: Da
             F.count_if("passed").alias("targets_corrected"),
         ),
     )
+
+
+def require_fixed(conditions: DataFrame) -> dict:
+    """The counts of :func:`fix_conditions`, or GateFailure if a target is missing or uncorrected."""
+    row = conditions.first().asDict()
+    if row["targets_found"] != row["documented_fixes"]:
+        raise GateFailure(f"{row['targets_found']} of {row['documented_fixes']} documented targets found")
+    if row["targets_corrected"] != row["documented_fixes"]:
+        raise GateFailure(f"{row['targets_corrected']} of {row['documented_fixes']} documented targets corrected")
+    return row

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelmill import fixed
+from panelmill.operators.dedup import dup_keys
 from panelmill.operators.keyed import cast_panel, upsert_rows
-from panelmill.plans.gates import first_failure, gate_report, require
+from panelmill.plans.gates import GateFailure, first_failure, gate_report, require
 from panelmill.plans.runlog import RunLog
 from panelmill.session import stage
 from panelmill.sources.versions import Version, VersionedTable
@@ -18,9 +19,13 @@ KEYS = ["country_code", "year"]
 def upsert_panel(target: DataFrame, staging: DataFrame) -> DataFrame:
     """Target after inserting or replacing the staged rows by key; nothing is deleted.
 
-    Whole rows are replaced: a NULL in the staged row overwrites.  The staged keys must be unique.
+    Whole rows are replaced: a NULL in the staged row overwrites.  A key twice in the batch raises
+    GateFailure, as it has no one right row.
     """
-    return upsert_rows(target, cast_panel(staging), KEYS)
+    typed = cast_panel(staging)
+    if not dup_keys(typed, KEYS).isEmpty():
+        raise GateFailure(fixed.MESSAGE_DUPLICATE)
+    return upsert_rows(target, typed, KEYS)
 
 
 def write_upsert(table: VersionedTable, typed: DataFrame) -> Version:

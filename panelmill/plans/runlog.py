@@ -51,26 +51,28 @@ class RunLog:
 
 
 def run_states(events: DataFrame) -> DataFrame:
-    """State of every run from its events, by partial aggregation (min and min_by)."""
-    running = F.col("status") == fixed.RUNNING
-
-    def end(c: str):
-        return F.min_by(c, F.when(~running, F.col("at_ns")))
+    """State of every run: its first terminal event at or after its start decides.
 
-    seconds = (F.col("finished_ns") - F.col("started_ns")) / 1e9
+    Terminal events before the start are ignored, runs without a start are left out.  Two
+    aggregations with partial sums and a join on the run, which AQE splits if one run is hot.
+    Events at the same time are taken in the order of their status and counts.
+    """
+    running = F.col("status") == fixed.RUNNING
+    starts = events.where(running).groupBy("run_id").agg(
+        F.min("pipeline_name").alias("pipeline_name"), F.min("at_ns").alias("started_ns")
+    )
+    later = events.where(~running).drop("pipeline_name").join(starts.drop("pipeline_name"), "run_id")
+    outcome = ["status", "staging_rows", "typed_rows", "error_message"]
+    first = (
+        later.where("at_ns >= started_ns")
+        .groupBy("run_id")
+        .agg(F.min(F.struct(F.col("at_ns").alias("finished_ns"), *outcome)).alias("end"))
+        .select("run_id", "end.*")
+    )
     return (
-        events.groupBy("run_id")
-        .agg(
-            F.min("pipeline_name").alias("pipeline_name"),
-            F.min(F.when(running, F.col("at_ns"))).alias("started_ns"),
-            F.min(F.when(~running, F.col("at_ns"))).alias("finished_ns"),
-            F.coalesce(end("status"), F.lit(fixed.RUNNING)).alias("status"),
-            end("staging_rows").alias("staging_rows"),
-            end("typed_rows").alias("typed_rows"),
-            end("error_message").alias("error_message"),
-        )
-        .where("started_ns IS NOT NULL")
-        .withColumn("duration_seconds", seconds)
+        starts.join(first, "run_id", "left")
+        .withColumn("status", F.coalesce("status", F.lit(fixed.RUNNING)))
+        .withColumn("duration_seconds", (F.col("finished_ns") - F.col("started_ns")) / 1e9)
     )
 
 

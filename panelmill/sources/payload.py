@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from panelmill.operators.coverage import grid
 
 ROW = (
-    "array<struct<indicator:struct<id:string>,countryiso3code:string,date:string,value:decimal(38,10)>>"
+    "array<struct<indicator:struct<id:string>,countryiso3code:string,date:string,value:decimal(38,15)>>"
 )
 
 
@@ -34,6 +34,27 @@ def flatten_pages(pages: DataFrame) -> DataFrame:
     )
 
 
+def page_problems(pages: DataFrame) -> DataFrame:
+    """One row: pages, malformed_pages (bodies that aren't whole JSON), bad_periods (rows whose date is no year)."""
+    parts = F.from_json("body", "array<string>")
+    rows = F.from_json(F.get(parts, F.lit(1)), ROW)
+    bad = F.size(F.filter(rows, lambda r: r["date"].isNotNull() & r["date"].try_cast("int").isNull()))
+    whole = F.try_parse_json("body").isNotNull()
+    return pages.select(whole.alias("whole"), F.when(whole, F.greatest(bad, F.lit(0))).otherwise(0).alias("bad")).agg(
+        F.count("*").alias("pages"),
+        F.count_if(~F.col("whole")).alias("malformed_pages"),
+        F.coalesce(F.sum("bad"), F.lit(0)).alias("bad_periods"),
+    )
+
+
+def require_pages(pages: DataFrame) -> DataFrame:
+    """The pages, or ValueError if any is malformed or has a row without a readable year."""
+    found = page_problems(pages).first()
+    if found["malformed_pages"] or found["bad_periods"]:
+        raise ValueError(f"{found['malformed_pages']} malformed pages, {found['bad_periods']} rows without a year")
+    return pages
+
+
 def first_nonempty_source(long_df: DataFrame, priority: DataFrame) -> DataFrame:
     """Rows of the first source code per indicator that has any value.
 

@@ -145,7 +145,7 @@ def test_join_groups_matches_a_plain_join_for_hot_cold_and_missing_keys(spark):
     counts = defaultdict(int)
     for _, k in data:
         counts[k] += 1
-    got = join_groups(df, groups, ["k"], "n", "id")
+    got = join_groups(df, groups, ["k"])
     assert rows(got, "id", "k", "n") == sorted(
         [(n, k, counts[k]) for n, k in data], key=lambda r: tuple((v is None, str(v)) for v in r)
     )
