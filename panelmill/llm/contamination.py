@@ -65,6 +65,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, percent: int = 75) -> DataFra
 
 def clean(docs: DataFrame, benchmark: DataFrame, percent: int = 75) -> DataFrame:
     """The documents in which no item is found; all columns and rows else as they are."""
-    found = matches(docs, benchmark, percent).select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.xxhash64(text_of()) == F.col("_h"))
-    return docs.join(small(stage(found, "found")), same, "left_anti")
+    found = matches(docs, benchmark, percent).select("doc_id", "text_hash").distinct().alias("found")
+    # The row travels as one value, so that its columns may have any names.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col("doc_id").alias("id"), F.xxhash64(text_of()).alias("hash"))
+    same = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("hash") == F.col("text_hash"))
+    return rows.join(small(stage(found, "found")), same, "left_anti").select("doc.*")

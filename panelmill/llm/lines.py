@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelmill.llm.common import text_of, words_of
+from panelmill.llm.common import WORD, text_of, words_of
 from panelmill.session import stage
 
 
@@ -97,7 +97,7 @@ def dedup(docs: DataFrame, least: int = 20) -> DataFrame:
     repeated where it is.  So the doubling ends at blocks of ``least`` lines, and the order within an interval isn't needed.
 
     Null texts stay null and empty ones empty.  Rows that repeat id and text are one document and
-    get the same result.  Added columns: n_lines (with words), n_deleted.
+    get the same result.  Added columns, in place of any of these names: n_lines (with words), n_deleted.
     """
     runs = stage(named_runs(docs, least), "runs")
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash", "start")
@@ -105,17 +105,19 @@ def dedup(docs: DataFrame, least: int = 20) -> DataFrame:
     first = first.where("first != final").select("length", "name", "check", "first")
     later = runs.join(first, ["length", "name", "check"]).where(place != F.col("first"))
     gone = later.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("start", "length")).alias("gone"))
-    gone = gone.select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h"), "gone")
+    gone = gone.select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash"), "gone")
 
-    hashed = docs.withColumn("_key", F.xxhash64(text_of()))
-    both = hashed.join(gone, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_key") == F.col("_h")), "left")
-    both = both.withColumn("_rows", F.split(text_of(), "\n"))
-    both = both.withColumn("_full", F.filter(F.sequence(F.lit(0), F.size("_rows") - 1), lambda i: F.get("_rows", i).rlike(r"[^\x20\x09-\x0D]")))
+    # The row travels as one value, so that its columns may have any names.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), "doc_id", text_of().alias("text"))
+    both = rows.join(gone, F.col("doc_id").eqNullSafe(F.col("gone_id")) & (F.xxhash64("text") == F.col("gone_hash")), "left")
+    both = both.withColumn("rows", F.split("text", "\n"))
+    both = both.withColumn("full", F.filter(F.sequence(F.lit(0), F.size("rows") - 1), lambda i: F.get("rows", i).rlike(WORD)))
     lost = F.flatten(F.transform("gone", lambda g: F.sequence(g["start"], g["start"] + g["length"] - 1)))
-    both = both.withColumn("_lost", F.array_distinct(F.transform(lost, lambda i: F.get("_full", i))))
-    kept = F.array_except(F.sequence(F.lit(0), F.size("_rows") - 1), F.col("_lost"))
-    rest = F.array_join(F.transform(kept, lambda i: F.get("_rows", i)), "\n")
-    emptied = F.size("_lost") == F.size("_full")
-    text = F.when(F.col("gone").isNull(), F.col("text")).when(emptied, F.lit("")).otherwise(rest)
-    columns = [text.alias("text") if c == "text" else F.col(c) for c in docs.columns]
-    return both.select(*columns, F.size("_full").alias("n_lines"), F.coalesce(F.when(F.col("gone").isNotNull(), F.size("_lost")), F.lit(0)).alias("n_deleted"))
+    both = both.withColumn("lost", F.array_distinct(F.transform(lost, lambda i: F.get("full", i))))
+    kept = F.array_except(F.sequence(F.lit(0), F.size("rows") - 1), F.col("lost"))
+    rest = F.array_join(F.transform(kept, lambda i: F.get("rows", i)), "\n")
+    emptied = F.size("lost") == F.size("full")
+    text = F.when(F.col("gone").isNull(), F.col("doc.text")).when(emptied, F.lit("")).otherwise(rest)
+    added = {"n_lines": F.size("full"), "n_deleted": F.when(F.col("gone").isNotNull(), F.size("lost")).otherwise(0)}
+    columns = [text.alias("text") if c == "text" else F.col(f"doc.`{c}`") for c in docs.columns if c not in added]
+    return both.select(*columns, *[v.alias(c) for c, v in added.items()])
