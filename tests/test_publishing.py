@@ -231,7 +231,9 @@ def test_report_is_published_only_if_valid(spark):
     order = [F.desc_nulls_last("x"), F.col("code")]
     good = spark.createDataFrame([("a", 1), ("b", 3), ("c", None)], "code string, x int")
     reports.publish_report(good, base, columns, 3, "code", order)
-    assert [r["code"] for r in reports.current_report(spark, base, columns).collect()] == ["b", "a", "c"]
+    # In the order of the part files; a scan may read equally large files in any order.
+    read = reports.current_report(spark, base, columns).select("code", F.input_file_name().alias("part")).collect()
+    assert [r["code"] for r in sorted(read, key=lambda r: r["part"].rpartition("/")[2])] == ["b", "a", "c"]
     repeated = good.withColumn("code", F.lit("a"))
     with pytest.raises(RuntimeError, match="Expected 3 unique"):
         reports.publish_report(repeated, base, columns, 3, "code", order)
