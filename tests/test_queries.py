@@ -1,16 +1,17 @@
-"""Every registered query against its check SQL on the smallest tables."""
+"""Every query of the catalog against its check SQL on the smallest tables."""
 
 import __spark_entry__ as entry
 import pytest
 from check import compare
 
-from .conftest import SF
+from panelmill.catalog import CHECKS, QUERIES
 
-QUERIES, CHECKS = entry.queries(), entry.oracle_sql()
+from .conftest import SF
 
 
 def test_registry():
     assert set(CHECKS) == set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries()) and set(CHECKS) <= set(entry.oracle_sql())
 
 
 def test_entry(spark):
