@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections import defaultdict
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +20,9 @@ from panelmill.session import stage
 END = 0
 # A word of this one control character has an id of its own, which no other character's bytes give.
 MARK = "\x00"
+# A plain word: Latin letters that no normal form changes, then ASCII signs, without the apostrophe.
+# The vocabulary's rules cut it between the two parts and nowhere else.
+PLAIN = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\[-`{-~]*)")
 ENCODERS: dict[str, Encoder] = {}
 
 
@@ -25,35 +30,73 @@ class Encoder:
     """Ids of words, as little-endian unsigned 32-bit numbers, remembered per worker.
 
     The vocabulary's rules never look across ASCII white space, which they drop, so that the ids of a
-    text are those of its white-space separated parts one after the other.  New words are
-    encoded together, with marks between them by which their ids are told apart.
+    text are those of its white-space separated parts one after the other.  The new words of a
+    batch are encoded together.  Plain ones are cut into letters and signs; the letters need no pattern
+    but white space, and each one's ids end with the only id that closes a word.  Between other words
+    go marks by which their ids are told apart.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.letters = Tokenizer.from_file(path)
+        self.letters.encode_special_tokens = True
+        self.letters.normalizer = normalizers.Sequence([])
+        by_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.letters.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), by_bytes])
         self.memo = Memo(self.alone, 1_500_000)
         (self.mark,) = np.frombuffer(self.alone(MARK.encode()), dtype="<u4")
+        suffix = self.tokenizer.model.end_of_word_suffix
+        vocabulary = self.tokenizer.get_vocab()
+        self.closes = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        if suffix:  # without one, no id tells where a word ends, and all words go between marks
+            self.closes[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+        self.plain = PLAIN if suffix else re.compile(r"(?!)")
 
     def alone(self, word: bytes) -> bytes:
-        return np.array(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-    def text(self, text: str) -> bytes:
-        words = text.encode().split()
-        new = [w for w in set(words) if w not in self.memo and MARK.encode() not in w]
-        if len(self.memo) + len(new) > self.memo.most:
+        return self.ids(self.tokenizer, word.decode()).tobytes()
+
+    def ids(self, tokenizer, text: str) -> np.ndarray:
+        return np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+
+    def keep(self, words: list[str], ids: np.ndarray, ends: np.ndarray, gap: int) -> None:
+        """Remember the ids of each word: up to its end, those of the next one ``gap`` further on."""
+        data, start = ids.tobytes(), 0
+        for word, end in zip(words, ends.tolist(), strict=True):
+            self.memo[word.encode()] = data[4 * start : 4 * end]
+            start = end + gap
+
+    def learn(self, new: set[bytes]) -> None:
+        cut, others = [], []
+        for word in b" ".join(new).decode().split(" "):
+            if match := self.plain.fullmatch(word):
+                cut.append((word, match[1].lower(), match[2]))
+            elif MARK not in word:
+                others.append(word)
+        letters = [w for w in {x[1] for x in cut} if w.encode() not in self.memo]
+        if letters:
+            ids = self.ids(self.letters, " ".join(letters))
+            self.keep(letters, ids, np.flatnonzero(self.closes[ids]) + 1, 0)
+        for word, low, signs in cut:
+            known = self.memo[low.encode()]
+            self.memo[word.encode()] = known + self.memo[signs.encode()] if signs else known
+        if others:
+            ids = self.ids(self.tokenizer, f" {MARK} ".join(others))
+            self.keep(others, ids, np.append(np.flatnonzero(ids == self.mark), len(ids)), 1)
+
+    def texts(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of every text of a batch; none for a missing text."""
+        words = [text.encode().split() if text else [] for text in texts]
+        new = set(chain.from_iterable(words)).difference(self.memo)
+        # A batch may bring a word three times: as it is, its letters and its signs.
+        if len(self.memo) + 3 * len(new) > self.memo.most:
             self.memo.clear()
-            new = [w for w in set(words) if MARK.encode() not in w]
+            new = set(chain.from_iterable(words))
         if new:
-            together = f" {MARK} ".join(w.decode() for w in new)
-            ids = np.array(self.tokenizer.encode_batch_fast([together], add_special_tokens=False)[0].ids, dtype="<u4")
-            data, start = ids.tobytes(), 0
-            for word, end in zip(new, [*np.flatnonzero(ids == self.mark).tolist(), len(ids)], strict=True):
-                self.memo[word] = data[4 * start : 4 * end]
-                start = end + 1
-        return b"".join(map(self.memo.__getitem__, words))
+            self.learn(new)
+        return [b"".join(map(self.memo.__getitem__, ws)) for ws in words]
 
 
 def encoder(path: str) -> Encoder:
@@ -74,8 +117,7 @@ def pieces(docs: DataFrame, size: int, path: str) -> DataFrame:
         seen = [0] * (size + 1)
         for batch in rows:
             out: list[list] = [[] for _ in range(7)]
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                data = encode.text(text) if text else b""
+            for key, data in zip(batch.column(0).to_pylist(), encode.texts(batch.column(1).to_pylist()), strict=True):
                 data += END.to_bytes(4, "little")
                 for n, at in enumerate(range(0, len(data), 4 * size)):
                     ids = data[at : at + 4 * size]

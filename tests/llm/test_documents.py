@@ -260,3 +260,15 @@ def test_pipeline_stages_take_effect(spark, docs, tmp_path):
     out = corpus_pipeline.run(spark, str(tmp_path))
     ids = {r["doc_id"] for r in out.select("doc_id").distinct().collect()}
     assert not ids & {4, 10, 11, *range(21, 51)} and {0, 1, 2, 3, 5, 6, 7, 8, 9, 13, 14, 51, 52} <= ids
+
+
+def test_encoder_gives_the_ids_of_whole_texts():
+    encode = packing.Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    signs = "a Z é É ß ÿ Ÿ İ ı é ' 's 'LL ´ ª µ × ÷ 1 ½ _ - . !! \x00 \x1c \x85   ​ 世 😀 ﬁ Σ </w> <|endoftext|> $$$".split(" ")
+    rng = random.Random(3)
+    texts = ["".join(rng.choices([*signs, " ", "\t", "\n"], k=rng.randint(0, 14))) for _ in range(3000)] + [None, ""]
+    for at in range(0, len(texts), 500):
+        batch = texts[at : at + 500]
+        for text, data in zip(batch, encode.texts(batch), strict=True):
+            ids = encode.tokenizer.encode(text or "", add_special_tokens=False).ids
+            assert np.frombuffer(data, dtype="<u4").tolist() == ids
