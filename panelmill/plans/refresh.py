@@ -56,8 +56,10 @@ def refresh(
 ) -> DataFrame:
     """Log the start, check every gate, write the upserted version, publish it, log success.
 
-    Any error, a failing gate first of all, leaves the published version untouched, is logged
-    with its message, and is raised again.
+    Any error up to the publication, a failing gate first of all, leaves the published version
+    untouched, is logged with its message, and is raised again.  What is published is never logged
+    as failed: if only the log entry of the success cannot be written, that error is raised and the
+    run stays running; the pointer carries its id.
     """
     run_id = log.start(name)
     try:
@@ -68,8 +70,8 @@ def refresh(
         published = table.read(version)
         typed_rows = published.count()
         table.publish(version, run_id)
-        log.succeed(run_id, name, counts["staging_rows"], typed_rows)
-        return published
     except Exception as error:
         log.fail(run_id, name, str(error))
         raise
+    log.succeed(run_id, name, counts["staging_rows"], typed_rows)
+    return published

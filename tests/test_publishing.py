@@ -102,6 +102,20 @@ def test_refresh_is_all_or_nothing(spark):
     assert runlog.last_runs(log.runs(), 1).first()["typed_rows"] == 3
 
 
+def test_published_is_never_logged_as_failed(spark, monkeypatch):
+    base = scratch_dir(spark, "unlogged")
+    table, log = VersionedTable(spark, f"{base}/panel"), runlog.RunLog(spark, f"{base}/log")
+
+    def lost(*_):
+        raise OSError("the log cannot be written")
+
+    monkeypatch.setattr(log, "succeed", lost)
+    with pytest.raises(OSError, match="cannot be written"):
+        refresh(batch(spark), table, log, codes(spark), SOURCE, 2000, 2023, 2)
+    assert table.read().count() == 2
+    assert [r["status"] for r in log.runs().collect()] == [fixed.RUNNING]
+
+
 def test_run_state_ignores_events_after_the_end(spark):
     log = runlog.RunLog(spark, scratch_dir(spark, "runs"))
     run = log.start("p")
