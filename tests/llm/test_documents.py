@@ -272,3 +272,31 @@ def test_encoder_gives_the_ids_of_whole_texts():
         for text, data in zip(batch, encode.texts(batch), strict=True):
             ids = encode.tokenizer.encode(text or "", add_special_tokens=False).ids
             assert np.frombuffer(data, dtype="<u4").tolist() == ids
+
+
+def test_rare_words_have_a_class_of_their_own(spark, monkeypatch):
+    """Two words of one bucket and one count, each known from its own contexts only."""
+    monkeypatch.setattr(class_lm, "CLUSTERED", 1.0)
+    draw = random.Random(8)
+    one, two = "maqua", "naqua"
+    assert class_lm.bucket_of(one.encode()) == class_lm.bucket_of(two.encode())
+    parts = [(["the", "a", "this"], one, ["runs", "sits"]), (["will", "can", "may"], two, ["it", "them"])]
+    texts = []
+    for k in range(60):
+        before, word, after = parts[k % 2]
+        middle = word if k % 6 < 2 else draw.choice(["cat", "dog"] if k % 2 == 0 else ["eat", "see"])
+        texts.append(f"{draw.choice(before)} {middle} {draw.choice(after)}")
+    asked = [f"the {w} runs" for w in (one, two)] + [f"will {w} it" for w in (one, two)]
+    free = [i for i in range(1000) if zlib.crc32(str(i).encode()) % 5 != 1]
+    held = [i for i in range(1000) if zlib.crc32(str(i).encode()) % 5 == 1]
+    frame = prepare(spark).createDataFrame([*zip(free, texts), *zip(held, asked)], "doc_id long, text string")
+
+    def scores():
+        return {r["doc_id"]: r["score"] for r in class_lm.score(frame).collect()}
+
+    got = scores()
+    fits = [got[i] for i in held[:4]]
+    assert fits[0] > fits[1] + 0.1 and fits[3] > fits[2] + 0.1
+    monkeypatch.setattr(class_lm, "KNOWN", 3)
+    joined = scores()
+    assert joined.keys() == got.keys() and all(abs(joined[i] - got[i]) < 1e-9 for i in got)
