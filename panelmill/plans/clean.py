@@ -18,47 +18,53 @@ from panelmill.operators.detect import all_issues, audit_rows, entry, is_quarant
 from panelmill.operators.joins import DIM, resolve
 
 ID = "raw_record_id"
-FIX_COLUMNS = ["life_expectancy", "gdp_usd"]
 
 
 def attach_documented_fixes(raw: DataFrame, fixes: DataFrame, columns: list[str]) -> DataFrame:
     """Add the documented correction of each listed column as ``fix_<column>`` (a struct).
 
     ``fixes`` has (country_code, year, column_name, issue_type, original_value, cleaned_value) and
-    applies where code, year and the raw value of that column agree.  One equi-join per column.
+    applies where code, year and the raw value of that column agree; a column that isn't listed
+    raises.  One equi-join: the corrections of a code and year travel as one row.
     """
-    for c in columns:
-        rules = (
-            fixes.where(F.col("column_name") == c)
-            .groupBy(
-                F.col("country_code").alias("_code"),
-                F.col("year").alias("_year"),
-                F.col("original_value").alias("_value"),
-            )
-            .agg(
-                F.min(F.struct(F.col("issue_type").alias("issue"), F.col("cleaned_value").alias("value"))).alias(
-                    f"fix_{c}"
-                )
-            )
+    known = F.col("column_name").isin(columns)
+    unknown = F.concat(F.lit("documented fix of an unknown column: "), F.coalesce("column_name", F.lit("NULL")))
+    rules = (
+        fixes.groupBy(
+            F.col("country_code").alias("_code"),
+            F.col("year").alias("_year"),
+            F.when(known, F.col("column_name")).otherwise(F.raise_error(unknown)).alias("_column"),
+            F.col("original_value").alias("_value"),
         )
-        raw = raw.join(
-            rules,
-            (F.upper(trimmed("country_code")) == F.col("_code"))
-            & (trimmed("year") == F.col("_year"))
-            & (trimmed(c) == F.col("_value")),
-            "left",
-        ).drop("_code", "_year", "_value")
-    return raw
+        .agg(F.min(F.struct(F.col("issue_type").alias("issue"), F.col("cleaned_value").alias("value"))).alias("_fix"))
+        .groupBy("_code", "_year")
+        .agg(F.collect_list(F.struct("_column", "_value", "_fix")).alias("_fixes"))
+    )
+    joined = raw.join(
+        rules,
+        (F.upper(trimmed("country_code")) == F.col("_code")) & (trimmed("year") == F.col("_year")),
+        "left",
+    )
+
+    def found(c: str):
+        match = F.filter("_fixes", lambda x: (x["_column"] == c) & (x["_value"] == trimmed(c)))
+        return F.get(match, F.lit(0))["_fix"]
+
+    return joined.withColumns({f"fix_{c}": found(c) for c in columns}).drop("_code", "_year", "_fixes")
 
 
 def attach_record_fixes(raw: DataFrame, fixes: DataFrame, column: str) -> DataFrame:
-    """Add the correction documented for a record id: ``fixes`` has (raw_record_id, issue_type, cleaned_value)."""
+    """Add the correction documented for a record id: ``fixes`` has (raw_record_id, issue_type, cleaned_value).
+
+    It goes before one documented for code and year.
+    """
     rules = fixes.groupBy(ID).agg(
-        F.min(F.struct(F.col("issue_type").alias("issue"), F.col("cleaned_value").alias("value"))).alias(
-            f"fix_{column}"
-        )
+        F.min(F.struct(F.col("issue_type").alias("issue"), F.col("cleaned_value").alias("value"))).alias("_by_id")
     )
-    return raw.join(rules, ID, "left")
+    joined = raw.join(rules, ID, "left")
+    name = f"fix_{column}"
+    fix = F.coalesce("_by_id", name) if name in raw.columns else F.col("_by_id")
+    return joined.withColumn(name, fix).drop("_by_id")
 
 
 def documented_issues(columns: list[str]) -> list[str]:
@@ -77,7 +83,7 @@ def documented_issues(columns: list[str]) -> list[str]:
 def documented_audit(raw: DataFrame, fixes: DataFrame | None, record_fixes: DataFrame | None) -> DataFrame:
     """Audit rows of documented corrections, from the few columns they depend on."""
     rows, columns = attach_fixes(
-        raw.select(ID, "country_code", "year", *FIX_COLUMNS, "population"), fixes, record_fixes
+        raw.select(ID, "country_code", "year", *fixed.INDICATORS), fixes, record_fixes
     )
     return audit_rows(rows, documented_issues(columns))
 
@@ -88,9 +94,10 @@ def attach_fixes(
     """Records with their ``fix_…`` structs, and the columns that got one."""
     columns = []
     if fixes is not None:
-        rows, columns = attach_documented_fixes(rows, fixes, FIX_COLUMNS), [*FIX_COLUMNS]
+        rows, columns = attach_documented_fixes(rows, fixes, fixed.INDICATORS), [*fixed.INDICATORS]
     if record_fixes is not None:
-        rows, columns = attach_record_fixes(rows, record_fixes, "population"), [*columns, "population"]
+        rows = attach_record_fixes(rows, record_fixes, "population")
+        columns = [*dict.fromkeys([*columns, "population"])]
     return rows, columns
 
 

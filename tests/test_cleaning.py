@@ -5,6 +5,7 @@ import random
 from collections import defaultdict
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from panelmill import fixed
@@ -221,3 +222,38 @@ def test_unreadable_year_stays_null_for_the_gates(spark):
         cleaned, not_null=["year"], checks={"year_in_period": F.col("year").between(2000, 2023)}
     )
     assert dict(rows(report)) == {"year_not_null": 1, "year_in_period": 1}
+
+
+FIX_SCHEMA = (
+    "country_code string, year string, column_name string, issue_type string, original_value string, cleaned_value string"
+)
+
+
+def test_documented_fix_of_every_column(spark):
+    values = {c: f"{9 - k}.5" for k, c in enumerate(fixed.INDICATORS)}
+    df = raw(spark, values | {"population": "8"}, {"year": "2002", "population": "8"})
+    wrong = values | {"population": "8"}
+    fixes = spark.createDataFrame(
+        [("AAA", "2001", c, "documented", wrong[c], str(20 + k)) for k, c in enumerate(fixed.INDICATORS)]
+        + [("AAA", "2002", "population", "documented", "8", "21")],
+        FIX_SCHEMA,
+    )
+    by_id = spark.createDataFrame([(2, "by id", "99")], "raw_record_id bigint, issue_type string, cleaned_value string")
+    noted = clean.annotate(df, dim(spark), 2000, 2023)
+    panel = clean.clean_panel(noted, fixed.BOUNDS, fixes, by_id)
+    out = {r["raw_record_id"]: r for r in panel.collect()}
+    assert [out[1][c] for c in fixed.INDICATORS] == [20 + k for k in range(6)] and out[2]["population"] == 99
+    log = clean.audit_log(noted, 2000, 2023, fixed.BOUNDS, fixes, by_id)
+    got = rows(log.where("issue_type IN ('documented', 'by id')"), "raw_record_id", "column_name", "cleaned_value")
+    expected = [(1, c, str(20 + k)) for k, c in enumerate(fixed.INDICATORS)] + [(2, "population", "99")]
+    assert got == sorted(expected, key=lambda r: tuple(map(str, r)))
+    checked = validate.verify_fixes(fixes.where("year = 2001"), panel, df, log)
+    assert checked.where("passed").count() == 6 and checked.count() == 6
+
+
+def test_documented_fix_of_an_unknown_column_raises(spark):
+    fixes = spark.createDataFrame([("AAA", "2001", "region", "documented", "North", "South")], FIX_SCHEMA)
+    noted = clean.annotate(raw(spark, {}), dim(spark), 2000, 2023)
+    for frame in (clean.clean_panel(noted, fixed.BOUNDS, fixes), clean.documented_audit(raw(spark, {}), fixes, None)):
+        with pytest.raises(Exception, match="unknown column: region"):
+            frame.collect()
