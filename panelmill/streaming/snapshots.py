@@ -1,21 +1,23 @@
 """Snapshot folders as a stream: every new folder is one refresh.
 
-Available files are taken in file order and handed, batch by batch, to the same refresh as a
-manual run.  A rejected batch stops the query; its run is in the log and the published table is
-unchanged.
+The stream brings the names of new files; each of their folders is read whole, by the reader of a
+manual run, and handed to the same refresh, in the order of the folders' first files.  A rejected
+snapshot stops the query; its run is in the log and the published table is unchanged.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from panelmill import fixed
 from panelmill.plans.refresh import refresh
 from panelmill.plans.runlog import RunLog
-from panelmill.sources.landing import text_schema
+from panelmill.sources.landing import read_snapshot
 from panelmill.sources.versions import VersionedTable
 
+FILES = "path string, modificationTime timestamp, length bigint, content binary"
+
 
 def refresh_stream(
     spark: SparkSession,
@@ -29,22 +31,31 @@ def refresh_stream(
     expected_rows: int | None,
     checkpoint: str,
 ) -> StreamingQuery:
-    """Process all snapshot files below ``base`` that were not processed before, then stop."""
+    """Process all snapshot folders below ``base`` with files that were not processed before, then stop.
+
+    Folders have to be complete when the stream starts; one that gets another file later is
+    refreshed again, as a whole.  The files of refreshed folders are kept beside the checkpoint, so
+    that a restart after a rejected snapshot does not repeat those before it.
+    """
+    done = f"{checkpoint.rstrip('/')}/snapshots"
+    spark.createDataFrame([], "path string").write.mode("append").parquet(done)
     files = (
-        spark.readStream.schema(text_schema(fixed.SOURCE_COLUMNS))
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("escape", '"')
-        .option("nullValue", "\u0000")
-        .option("encoding", "UTF-8")
-        .option("mode", "FAILFAST")
+        spark.readStream.format("binaryFile")
+        .schema(FILES)
         .option("recursiveFileLookup", "true")
-        .option("maxFilesPerTrigger", 1)
-        .csv(base)
+        .option("pathGlobFilter", "*.csv")
+        .load(base)
+        .select("path", "modificationTime", F.element_at(F.split("path", "/"), -2).alias("folder"))
     )
 
     def run(batch: DataFrame, _: int) -> None:
-        refresh(batch, table, log, codes, source, first, last, expected_rows)
+        refreshed = spark.read.schema("path string").parquet(done)
+        new = batch.join(refreshed, "path", "left_anti").groupBy("folder").agg(
+            F.min("modificationTime").alias("landed"), F.collect_set("path").alias("paths")
+        )
+        for found in new.orderBy("landed", "folder").collect():
+            refresh(read_snapshot(spark, base, found["folder"]), table, log, codes, source, first, last, expected_rows)
+            spark.createDataFrame([(p,) for p in found["paths"]], "path string").write.mode("append").parquet(done)
 
     return (
         files.writeStream.foreachBatch(run)

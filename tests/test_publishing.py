@@ -141,6 +141,22 @@ def test_stream_of_snapshots(spark):
     assert log.runs().count() == 2
 
 
+def test_stream_takes_a_folder_of_several_files_as_one_snapshot(spark):
+    base = scratch_dir(spark, "snapshots")
+    landing.write_text(batch(spark).repartition(2, "year"), f"{base}/2026-01-01_000000_000000Z")
+    landing.write_text(batch(spark, years=(2003, 2003)).repartition(2), f"{base}/2026-01-02_000000_000000Z")
+    assert retention.list_files(spark, base, "*.csv").count() > 2
+    table = VersionedTable(spark, scratch_dir(spark, "typed"))
+    log = runlog.RunLog(spark, scratch_dir(spark, "runs"))
+    args = (spark, base, table, log, codes(spark), SOURCE, 2000, 2023, 2, scratch_dir(spark, "checkpoint"))
+    for failures in (1, 2):
+        with pytest.raises(Exception, match=fixed.MESSAGE_DUPLICATE):
+            refresh_stream(*args).awaitTermination()
+        states = [r["status"] for r in log.runs().collect()]
+        assert sorted(states) == sorted([fixed.SUCCEEDED] + [fixed.FAILED] * failures)
+        assert rows(table.read(), "year") == [(2000,), (2001,)]
+
+
 def test_landing_round_trip_and_malformed_files(spark):
     path = scratch_dir(spark, "csv")
     odd = batch(spark, {"country_name": ' a "quoted", name ', "region": "", "gdp_usd": None})
