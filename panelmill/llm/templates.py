@@ -164,36 +164,54 @@ def text_hash(element: Element, text: str) -> int:
     return xxhash.xxh3_64_intdigest(f"{element.name}\x00{text}".encode("utf-8", "replace")) - (1 << 63)
 
 
-def whole_text(element: Element, hashes: set[int]) -> list[str]:
-    """Text of a subtree; the hash of each block subtree with text on the way is added."""
+def place_hash(path: str, text: str) -> int:
+    """Signed 64-bit hash of a subtree's text and of the block elements around it."""
+    return xxhash.xxh3_64_intdigest(f"{path}\x00{text}".encode("utf-8", "replace")) - (1 << 63)
+
+
+class Blocks:
+    """Hashes of block subtrees, without and with their place; the longest innermost one stands for the article."""
+
+    def __init__(self):
+        self.hashes: set[int] = set()
+        self.places: set[int] = set()
+        self.longest = (0, 0)
+
+
+def whole_text(element: Element, found: Blocks | None = None, path: str = "") -> list[str]:
+    """Text of a subtree; the hashes of each block subtree with text on the way are added."""
     parts: list[str] = []
+    before = len(found.places) if found else 0
     for child in element.children:
         if isinstance(child, str):
             parts.append(child)
         elif child.name not in DROPPED and child.name != "br":
             parts.append(" ")
-            parts += whole_text(child, hashes)
+            parts += whole_text(child, found, f"{path}/{child.name}" if child.name in BLOCK else path)
             parts.append(" ")
         elif child.name == "br":
             parts.append(" ")
-    if element.name in BLOCK and (text := squeeze(parts)):
-        hashes.add(text_hash(element, text))
+    if found and element.name in BLOCK and (text := squeeze(parts)):
+        if len(found.places) == before:
+            found.longest = max(found.longest, (len(text), text_hash(element, text)))
+        found.hashes.add(text_hash(element, text))
+        found.places.add(place_hash(path, text))
     return parts
 
 
-def subtree_hashes(source: str | None) -> set[int]:
-    """Hashes of the block subtrees below the content roots of a page."""
-    hashes: set[int] = set()
+def blocks_of(source: str | None) -> Blocks:
+    """The block subtrees below the content roots of a page."""
+    found = Blocks()
     if source:
         for root in content_roots(parse(source)):
             for child in root.children:
                 if isinstance(child, Element) and not furniture(child, True):
-                    whole_text(child, hashes)
-    return hashes
+                    whole_text(child, found, f"/{child.name}" if child.name in BLOCK else "")
+    return found
 
 
-def main_text(source: str | None, repeated: set[int]) -> str:
-    """Text blocks of the article in page order, joined by an empty line."""
+def main_text(source: str | None, repeated: set[int], placed: set[int] = frozenset()) -> str:
+    """Text blocks of the article in page order, joined by an empty line; without those repeated, or placed where they are."""
     if not source:
         return ""
     blocks: list[str] = []
@@ -204,7 +222,13 @@ def main_text(source: str | None, repeated: set[int]) -> str:
             blocks.append(text)
         line.clear()
 
-    def visit(element: Element, header: bool) -> None:
+    def goes(child: Element, path: str) -> bool:
+        if not repeated and not placed:
+            return False
+        text = squeeze(whole_text(child))
+        return text_hash(child, text) in repeated or place_hash(path, text) in placed
+
+    def visit(element: Element, header: bool, path: str) -> None:
         for child in element.children:
             if isinstance(child, str):
                 if not header:
@@ -218,17 +242,17 @@ def main_text(source: str | None, repeated: set[int]) -> str:
                     flush()
                 continue
             if child.name not in BLOCK:
-                visit(child, header)
+                visit(child, header, path)
                 continue
             flush()
-            if not (repeated and text_hash(child, squeeze(whole_text(child, set()))) in repeated):
+            if not goes(child, inner := f"{path}/{child.name}"):
                 # Of a header inside the article, only the headings belong to it.
-                visit(child, child.name == "header" or header and child.name not in HEADINGS)
+                visit(child, child.name == "header" or header and child.name not in HEADINGS, inner)
             flush()
 
     tree = parse(source)
     for root in content_roots(tree):
-        visit(root, root is tree and False)
+        visit(root, False, "")
         flush()
     return "\n\n".join(blocks)
 
@@ -238,6 +262,50 @@ def host_of(url):
     return F.lower(F.regexp_extract(url, r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://)?(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
+def section_of(url):
+    """First folder of an address's path; null without one."""
+    return F.nullif(F.regexp_extract(url, r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://)?[^/?#]*/([^/?#]+)/", 1), F.lit(""))
+
+
+def language_of(html):
+    """Main language that the html element names, in lower case; empty without one."""
+    return F.lower(F.coalesce(F.regexp_extract(html, r"(?i)<html\b[^>]*?\slang\s*=\s*[\"']?([A-Za-z]+)", 1), F.lit("")))
+
+
+def partly_repeated(source: DataFrame, fewest: int = 3, fewest_of_part: int = 10) -> DataFrame:
+    """(host, part, hash): blocks that recur at their place in a host or a part of it, its sections and languages.
+
+    A block's place is the path of block elements around it.  Its votes are distinct articles, told apart by their
+    longest innermost block, so that copies of an article have one vote.  A block needs ``fewest`` votes in a host or
+    ``fewest_of_part`` in a part, and those of half of the articles; of less than ten articles, of all but a fifth.
+    """
+
+    def batches(rows):
+        votes: set = set()
+
+        def flush():
+            out = [pa.array([v[k] for v in votes], kind) for k, kind in enumerate((pa.string(), pa.string(), pa.int64(), pa.int64()))]
+            votes.clear()
+            return pa.RecordBatch.from_arrays(out, ["host", "part", "hash", "article"])
+
+        for batch in rows:
+            for host, page, section, language in zip(*[batch.column(k).to_pylist() for k in range(4)], strict=True):
+                found = blocks_of(page)
+                if found.places:
+                    parts = ["", *([f"section {section}"] if section else ()), *([f"language {language}"] if language else ())]
+                    votes.update((host, part, h, found.longest[1]) for part in parts for h in (None, *found.places))
+            if len(votes) > 200_000:
+                yield flush()
+        yield flush()
+
+    pages = source.where("host IS NOT NULL").select("host", "html", "section", "language")
+    votes = pages.mapInArrow(batches, "host string, part string, hash long, article long").distinct()
+    counts = stage(votes.groupBy("host", "part", "hash").agg(F.count("*").alias("n")).where(F.col("n") >= F.when(F.col("part") == "", fewest).otherwise(fewest_of_part)), "votes")
+    sizes = counts.where("hash IS NULL").select("host", "part", F.col("n").alias("articles"))
+    lacking = F.when(F.col("articles") >= 10, F.col("articles") / 2).otherwise(F.floor(F.col("articles") / 5))
+    return counts.where("hash IS NOT NULL").join(sizes, ["host", "part"]).where(F.col("articles") - F.col("n") <= lacking).select("host", "part", "hash")
+
+
 def extract(pages: DataFrame, share: float = 0.5, least: int = 10) -> DataFrame:
     """Per page: page_id, url, text and n_chars of its article.
 
@@ -247,13 +315,14 @@ def extract(pages: DataFrame, share: float = 0.5, least: int = 10) -> DataFrame:
     text) and counted once per page of a host, in two steps, so that a hot host sends one row per
     task and hash; subtrees on at least ``least`` pages and ``share`` of the pages of their host are
     deleted.  A host has at most 1 / share times as many of them as an average page of it has subtrees, so that they travel as one
-    row per host.
+    row per host.  So do, from hosts with few pages and from sections and languages of a host, the blocks that
+    ``partly_repeated`` finds; those of a section travel with the section.
 
     Null or empty html gives an empty text.  Pages with a null url lose no repeated subtrees.
     Repeated rows count as pages of their own.  Character references are decoded, white space inside a
     block becomes one space, blocks are joined by an empty line.
     """
-    source = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
+    source = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"), section_of(F.col("url")).alias("section"), language_of(F.col("html")).alias("language"))
 
     def hashed(rows):
         counts: Counter = Counter()
@@ -266,7 +335,7 @@ def extract(pages: DataFrame, share: float = 0.5, least: int = 10) -> DataFrame:
 
         for batch in rows:
             for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                counts.update((host, h) for h in subtree_hashes(page))
+                counts.update((host, h) for h in blocks_of(page).hashes)
             if len(counts) > 200_000:
                 yield flush()
         yield flush()
@@ -275,11 +344,17 @@ def extract(pages: DataFrame, share: float = 0.5, least: int = 10) -> DataFrame:
     sizes = source.where("host IS NOT NULL").groupBy("host").agg(F.count("*").alias("pages"))
     often = seen.groupBy("host", "hash").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
     repeated = often.join(sizes, "host").where(F.col("n") >= share * F.col("pages"))
-    repeated = stage(repeated.groupBy("host").agg(F.collect_list("hash").alias("repeated")), "templates")
+    parts = stage(partly_repeated(source), "parts")
+    wide = parts.where("part NOT LIKE 'section %'").groupBy("host").agg(F.collect_list(F.struct("part", "hash")).alias("placed"))
+    repeated = stage(repeated.groupBy("host").agg(F.collect_list("hash").alias("repeated")).join(wide, "host", "full"), "templates")
+    sections = parts.where("part LIKE 'section %'").groupBy("host", F.expr("substring(part, 9)").alias("section")).agg(F.collect_list("hash").alias("in_section"))
 
     def texts(rows):
         for batch in rows:
-            out = [main_text(h, set(r or ())) for h, r in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            out = []
+            for page, seen, language, placed, section in zip(*[batch.column(k).to_pylist() for k in range(2, 7)], strict=True):
+                here = {p["hash"] for p in placed or () if p["part"] in ("", f"language {language}")}
+                out.append(main_text(page, set(seen or ()), here | set(section or ())))
             out = [t.encode("utf-8", "replace").decode() for t in out]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(out, pa.string()), pa.array([len(t) for t in out], pa.int64())],
@@ -287,5 +362,6 @@ def extract(pages: DataFrame, share: float = 0.5, least: int = 10) -> DataFrame:
             )
 
     kind = pages.schema["page_id"].dataType.simpleString()
-    joined = source.join(repeated, "host", "left").select("page_id", "url", "html", "repeated")
+    joined = source.join(repeated, "host", "left").join(sections, ["host", "section"], "left")
+    joined = joined.select("page_id", "url", "html", "repeated", "language", "placed", "in_section")
     return joined.mapInArrow(texts, f"page_id {kind}, url string, text string, n_chars long")

@@ -30,6 +30,34 @@ def test_repeated_subtrees_of_a_host_go(spark):
     assert templates.extract(pages.where("1 = 0")).isEmpty()
 
 
+def test_blocks_of_small_hosts_and_of_parts_of_a_host_go(spark):
+    def page(k, extra, lang="en"):
+        own = f"Story {k} " + " ".join(f"word{k}x{i}" for i in range(30))
+        return f'<html lang="{lang}"><body><article><p>{own}</p><div>{extra}</div></article></body></html>', own
+
+    rows, own = [], {}
+
+    def add(host, path, k, *args):
+        html, own[len(rows)] = page(k, *args)
+        rows.append((len(rows), f"http://{host}/{path}/{k}", html))
+
+    for k in range(5):
+        add("small.example", "a", k, "Read our letter.")
+    for k in range(60):
+        add("large.example", "news" if k % 4 == 0 else f"s{k % 4}", k, "Only in the news." if k % 4 == 0 else f"Of {k}.", "en")
+    for k in range(60, 90):
+        add("tongues.example", "x", k, "Lisez aussi." if k % 3 == 0 else f"Of {k}.", "fr" if k % 3 == 0 else "en")
+    for _ in range(6):
+        add("copies.example", "x", 7, "Copied line.")
+    for k in range(4):
+        add("copies.example", "x", 100 + k, f"Of {k}.")
+    got = {r["page_id"]: r["text"] for r in templates.extract(prepare(spark).createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i, url, html in rows:
+        extra = html.split("<div>")[1].split("</div>")[0]
+        kept = extra.startswith("Of ") or "copies" in url
+        assert got[i] == own[i] + (f"\n\n{extra}" if kept else ""), url
+
+
 def test_vectors_by_brute_force(spark):
     rng = np.random.default_rng(3)
     centres = rng.standard_normal((12, 32))
