@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 
-from panelmill.llm import class_lm, contamination, lines, ngram_join, packing, quality, templates, token_counts, toxicity, vectors
+from panelmill.llm import class_lm, contamination, lines, manifest, ngram_join, packing, quality, rules, templates, token_counts, toxicity, variants, vectors
 from panelmill.llm.common import table
 
 LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -52,6 +54,19 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.prove(table(spark, sf_dir, "documents"))
+
+
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = rules.judge(table(spark, sf_dir, "documents"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "failures", "base_failed", "kept")
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.group(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -65,6 +80,9 @@ QUERIES = {
         op8_best_fit_packing,
         op9_quality,
         op10_token_counts,
+        op11_merkle_manifest,
+        op12_quality_rules,
+        op13_spelling_variants,
     )
 }
 
@@ -79,6 +97,29 @@ reach AS (SELECT a AS node, a AS other FROM links UNION SELECT reach.node, links
 least AS (SELECT node, min(other) AS component_id FROM reach GROUP BY node)
 """
 
+# The CRC-32 of each four bits.
+CRC_STEPS = [reduce(lambda c, _: c >> 1 ^ 0xEDB88320 * (c & 1), range(4), x) for x in range(16)]
+
+
+def crc(text: str) -> str:
+    """SQL for the unsigned crc32 of a text's UTF-8 bytes, the lower half of each byte first."""
+    nibbles = (
+        f"flatten([[instr('123456789ABCDEF', hex(encode({text}))[2 * i]), instr('123456789ABCDEF', hex(encode({text}))[2 * i - 1])] "
+        f"FOR i IN range(1, strlen({text}) + 1)])"
+    )
+    step = f"xor(({CRC_STEPS}::BIGINT[])[(xor(c, x) & 15) + 1], c >> 4)"
+    return f"xor(list_reduce(list_prepend(4294967295, {nibbles}::BIGINT[]), lambda c, x: {step}), 4294967295)"
+
+
+def leaf(text: str) -> str:
+    values = ("doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text)
+    return "sha256(" + " || ".join(f"coalesce(strlen({v}) || ':' || {v}, '-')" for v in values) + ")"
+
+
+# Words that hold what a pattern finds; all of a text's words; one value per adjacent pair.
+PLAIN_WORDS = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
+BITS = " + ".join(f"CASE WHEN {rule} THEN {1 << n} ELSE 0 END" for n, rule in enumerate(rules.RULES.values()))
+
 CHECKS = {
     "op2_embedding_near_dedup": f"""
 WITH RECURSIVE v AS (
@@ -133,5 +174,86 @@ links AS (SELECT a, b FROM pairs JOIN n x ON x.id = a JOIN n y ON y.id = b WHERE
 {REACH}
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(component_id, d.doc_id) AS component_id
 FROM documents d LEFT JOIN n ON n.id = d.doc_id LEFT JOIN least ON least.node = d.doc_id
+""",
+    "op11_merkle_manifest": f"""
+WITH RECURSIVE d AS (
+  SELECT *, {leaf("text")} AS leaf, CASE WHEN doc_id IS NOT NULL AND {crc("coalesce(doc_id::VARCHAR, '')")} % 2 = 0
+         THEN {leaf("replace(text, chr(10), '')")} ELSE {leaf("text")} END AS changed FROM documents),
+o AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM d),
+low AS (
+  SELECT source, 0 AS level, list(leaf ORDER BY pos) AS nodes FROM o GROUP BY source
+  UNION ALL
+  SELECT source, level + 1, [sha256(array_to_string(nodes[i:i + 2], '')) FOR i IN range(1, len(nodes) + 1, 3)]
+  FROM low WHERE len(nodes) > 1),
+s AS (SELECT source, level AS height, nodes[1] AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos FROM low WHERE len(nodes) = 1),
+high AS (
+  SELECT 0 AS level, list(subroot ORDER BY pos) AS nodes FROM s
+  UNION ALL
+  SELECT level + 1, [sha256(array_to_string(nodes[i:i + 2], '')) FOR i IN range(1, len(nodes) + 1, 3)] FROM high WHERE len(nodes) > 1),
+every AS (SELECT source, level, nodes FROM low WHERE len(nodes) > 1
+          UNION ALL SELECT s.source, s.height + high.level, high.nodes FROM s, high WHERE len(high.nodes) > 1),
+way AS (
+  SELECT o.source, o.doc_id, o.leaf, o.pos AS mark, 0 AS level, CASE WHEN s.height = 0 THEN s.pos ELSE o.pos END AS pos,
+         s.height, s.pos AS place, o.changed AS folded, '' AS beside
+  FROM o JOIN s ON s.source IS NOT DISTINCT FROM o.source
+  UNION ALL
+  SELECT w.source, w.doc_id, w.leaf, w.mark, w.level + 1, CASE WHEN w.level + 1 = w.height THEN w.place ELSE w.pos // 3 END, w.height, w.place,
+         sha256(array_to_string([CASE WHEN i = w.pos + 1 THEN w.folded ELSE e.nodes[i] END
+                                 FOR i IN range(w.pos // 3 * 3 + 1, least(w.pos // 3 * 3 + 3, len(e.nodes)) + 1)], '')),
+         w.beside || array_to_string([CASE WHEN i = w.pos + 1 THEN '' ELSE e.nodes[i] END
+                                      FOR i IN range(w.pos // 3 * 3 + 1, least(w.pos // 3 * 3 + 3, len(e.nodes)) + 1)], '')
+  FROM way w JOIN every e ON e.source IS NOT DISTINCT FROM w.source AND e.level = w.level),
+ends AS (SELECT *, row_number() OVER (PARTITION BY source, mark ORDER BY level DESC) AS last FROM way)
+SELECT e.doc_id, e.leaf, s.subroot, r.root, sha256(e.beside) AS proof_sha256, e.folded AS folded_root, e.folded = r.root AS verified
+FROM ends e JOIN s ON s.source IS NOT DISTINCT FROM e.source, (SELECT nodes[1] AS root FROM high WHERE len(nodes) = 1) r
+WHERE e.last = 1
+""",
+    "op12_quality_rules": f"""
+WITH w AS (SELECT row_number() OVER () AS id, doc_id, text, {PLAIN_WORDS} AS w FROM documents),
+windows AS (
+  SELECT id, w[i:i + 4] AS five, i FROM (SELECT id, w, unnest(range(1, len(w) - 3)) AS i FROM w)),
+again AS (SELECT id, i FROM (SELECT *, count(*) OVER (PARTITION BY id, five) AS n FROM windows) WHERE n > 1),
+covered AS (SELECT id, count(DISTINCT p) AS n FROM (SELECT id, unnest(range(i, i + 5)) AS p FROM again) GROUP BY id),
+lines AS (
+  SELECT id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
+  FROM (SELECT id, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM w)
+  WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY id),
+m AS (
+  SELECT w.id, doc_id, len(w) AS n_words, coalesce(list_sum([length(x) FOR x IN w]), 0)::BIGINT AS word_chars,
+         (length(coalesce(text, '')) - length(regexp_replace(coalesce(text, ''), '[#*$%&|<>]', '', 'g'))) AS n_symbols,
+         coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(covered.n, 0) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines,
+         len([x FOR x IN w IF regexp_matches(x, '[A-Za-z\\x{{80}}-\\x{{10ffff}}]')]) AS n_lettered,
+         len([x FOR x IN w IF regexp_matches(x, '[A-Z]') AND NOT regexp_matches(x, '[a-z]')]) AS n_shouted,
+         len([i FOR i IN range(1, len(w)) IF w[i] = w[i + 1]]) AS n_echoes
+  FROM w LEFT JOIN lines ON lines.id = w.id LEFT JOIN covered ON covered.id = w.id),
+ledger AS (SELECT *, ({BITS})::BIGINT AS failures FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failures, failures & {rules.mask(rules.BASE)} <> 0 AS base_failed,
+       failures & {rules.mask(rules.POLICIES[3])} = 0 AS kept
+FROM ledger
+""",
+    "op13_spelling_variants": f"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low
+  FROM (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')) AS run FROM documents) WHERE length(run) >= 7),
+hashed AS (
+  SELECT doc_id, low, n, CASE WHEN doc_id IS NOT NULL THEN {crc("(coalesce(doc_id, 0)::VARCHAR || ':' || low)")} END AS h
+  FROM (SELECT doc_id, low, count(*) AS n FROM runs GROUP BY doc_id, low)),
+words AS (
+  SELECT word, sum(n)::BIGINT AS n
+  FROM (SELECT n, CASE WHEN h % 31 = 0 THEN low[:h % length(low)] || low[h % length(low) + 2:] ELSE low END AS word FROM hashed)
+  WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+less AS (SELECT word, n, i, word[:i - 1] || word[i + 1:] AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+near AS (
+  SELECT a.word, b.word AS other, b.n AS m FROM less a JOIN less b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM less a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM less a JOIN words b ON a.rest = b.word),
+best AS (SELECT word, count(*) AS n_near, max(m) AS m, min(other) FILTER (m = top) AS other
+         FROM (SELECT *, max(m) OVER (PARTITION BY word) AS top FROM near) GROUP BY word),
+forms AS (SELECT words.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 10 * n THEN other END AS form, CASE WHEN m >= 10 * n THEN m END AS form_n
+          FROM words LEFT JOIN best ON best.word = words.word),
+follow AS (SELECT word, word AS root, 0 AS step FROM forms
+           UNION ALL SELECT follow.word, form, step + 1 FROM follow JOIN forms ON forms.word = follow.root WHERE form IS NOT NULL),
+ends AS (SELECT word, root FROM (SELECT *, row_number() OVER (PARTITION BY word ORDER BY step DESC) AS k FROM follow) WHERE k = 1)
+SELECT forms.word, form, root, n, n_near, form_n FROM forms JOIN ends ON ends.word = forms.word
 """,
 }

@@ -10,7 +10,7 @@ from ..conftest import SF
 
 
 def test_registry():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
     assert {*QUERIES, "pipeline"} <= set(entry.queries()) and set(CHECKS) <= set(entry.oracle_sql())
 
 
