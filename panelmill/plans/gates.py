@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from panelmill import fixed
@@ -32,16 +32,11 @@ class GateFailure(RuntimeError):
     """A staged batch was rejected; the message is that of the first failing gate."""
 
 
-def gate_report(
-    staging: DataFrame, codes: DataFrame, source: str, first: int, last: int
-) -> DataFrame:
-    """One row: staged rows and violations of identity, values, ranges and key uniqueness.
+def row_counts(source: str, first: int, last: int) -> list[Column]:
+    """Counts of staged rows and of violations of identity, values and ranges, as aggregates.
 
-    ``codes`` has the accepted country codes.  Row rules share one pass; the key gate adds one
-    aggregation.  Casts are tried, never raised, so the gates do not depend on one another.
+    They belong to rows with ``_known``, the accepted code each one found.
     """
-    known = codes.select(F.col("country_code").alias("_known")).distinct()
-    rows = staging.join(known, F.col("country_code") == F.col("_known"), "left")
     identity = any_of(
         [
             F.col("_known").isNull(),
@@ -72,17 +67,50 @@ def gate_report(
             passed(as_decimal("life_expectancy") <= 0),
         ]
     )
-    per_row = rows.agg(
-        F.count("*").alias("staging_rows"),
+    return [
+        F.count(F.lit(1)).alias("staging_rows"),
         F.count_if(identity).alias("identity_violations"),
         F.count_if(values).alias("value_violations"),
         F.count_if(ranges).alias("range_violations"),
-    )
+    ]
+
+
+def with_known(staging: DataFrame, codes: DataFrame) -> DataFrame:
+    """Staged rows with ``_known``, their code if it is accepted."""
+    known = codes.select(F.col("country_code").alias("_known")).distinct()
+    return staging.join(known, F.col("country_code") == F.col("_known"), "left")
+
+
+def gate_report(staging: DataFrame, codes: DataFrame, source: str, first: int, last: int) -> DataFrame:
+    """One row: staged rows and violations of identity, values, ranges and key uniqueness.
+
+    ``codes`` has the accepted country codes.  Row rules share one pass; the key gate adds one
+    aggregation.  Casts are tried, never raised, so the gates do not depend on one another.
+    """
+    per_row = with_known(staging, codes).agg(*row_counts(source, first, last))
     keys = staging.select("country_code", as_integer("year").alias("year"))
     duplicates = dup_keys(keys, ["country_code", "year"]).agg(F.count("*").alias("duplicate_keys"))
     return sum_counts(per_row, duplicates)
 
 
+def observed(staging: DataFrame, codes: DataFrame, source: str, first: int, last: int) -> tuple[DataFrame, Observation]:
+    """The staged rows, and the row counts of :func:`gate_report`, known once the rows are written.
+
+    The counts are metrics of that write: the batch isn't read again for them.
+    """
+    seen = Observation("gates")
+    marked = with_known(staging, codes).observe(seen, *row_counts(source, first, last))
+    return marked.select(*staging.columns), seen
+
+
+def key_counts(staging: DataFrame) -> dict:
+    """Keys that occur more than once, and the periods of a batch, in one pass over its keys."""
+    keys = staging.groupBy("country_code", as_integer("year").alias("year")).agg(F.count("*").alias("n"))
+    found = keys.agg(F.count_if(F.col("n") > 1).alias("duplicate_keys"), F.collect_set("year").alias("periods"), F.count_if(F.col("year").isNull()).alias("none"))
+    row = found.first()
+    return {"duplicate_keys": row["duplicate_keys"], "periods": [*sorted(row["periods"]), *([None] if row["none"] else [])]}
+
+
 def first_failure(report: DataFrame, expected_rows: int | None) -> DataFrame:
     """The report with the message of the first failing gate, NULL if all pass.
 
@@ -103,6 +131,13 @@ def first_failure(report: DataFrame, expected_rows: int | None) -> DataFrame:
     return report.withColumn("message", message)
 
 
+def require_counts(spark: SparkSession, counts: dict, expected_rows: int | None) -> dict:
+    """The counts of a batch, or GateFailure with the message of the first failing gate."""
+    names = ["staging_rows", "identity_violations", "value_violations", "range_violations", "duplicate_keys"]
+    report = spark.createDataFrame([tuple(counts[n] for n in names)], ", ".join(f"{n} bigint" for n in names))
+    return require(first_failure(report, expected_rows))
+
+
 def require(report: DataFrame) -> dict:
     """The report row as a dict, or GateFailure with its message."""
     row = report.first().asDict()

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelmill import fixed
+from panelmill.sources.commits import append_note, read_notes
 
 EVENTS = (
     "run_id string, pipeline_name string, status string, at_ns bigint, "
@@ -21,15 +22,16 @@ EVENTS = (
 
 
 class RunLog:
-    """Events of all runs in one folder."""
+    """Events of all runs in one folder, a small file each, so that runs may log at the same time."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path
 
     def _append(self, run_id: str, name: str, status: str, staging=None, typed=None, message=None) -> None:
-        row = (run_id, name, status, time.time_ns(), staging, typed, message)
-        self.spark.createDataFrame([row], EVENTS).coalesce(1).write.mode("append").parquet(self.path)
+        values = (run_id, name, status, time.time_ns(), staging, typed, message)
+        names = [field.split(" ")[0] for field in EVENTS.split(", ")]
+        append_note(self.spark, self.path, dict(zip(names, values, strict=True)))
 
     def start(self, pipeline_name: str) -> str:
         run_id = uuid.uuid4().hex
@@ -43,7 +45,7 @@ class RunLog:
         self._append(run_id, pipeline_name, fixed.FAILED, message=message)
 
     def events(self) -> DataFrame:
-        return self.spark.read.schema(EVENTS).parquet(self.path)
+        return read_notes(self.spark, self.path, EVENTS)
 
     def runs(self) -> DataFrame:
         """One row per run with start, end, state, counts and message."""

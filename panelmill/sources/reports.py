@@ -48,7 +48,9 @@ def publish_report(
     message = report_gate(written, key, rows).first()["message"]
     if message is not None:
         raise RuntimeError(message)
-    VersionedTable(spark, base).publish(Version((folder,)))
+    table = VersionedTable(spark, base)
+    before = table.current()
+    table.publish(Version((folder,), (rows,), (before.number if before else 0) + 1))
     return written
 
 
