@@ -5,53 +5,98 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelmill import fixed
 from panelmill.operators.coverage import grid
+from panelmill.session import stage
 
-ROW = (
-    "array<struct<indicator:struct<id:string>,countryiso3code:string,date:string,value:decimal(38,15)>>"
-)
+# What can be wrong with a page or one of its rows.
+MALFORMED_PAGE, MALFORMED_ROW = "malformed page", "malformed row"
+BAD_PERIOD, BAD_VALUE = "unreadable period", "unreadable value"
 
 
-def flatten_pages(pages: DataFrame) -> DataFrame:
-    """(indicator, entity, year, value) from (page, body) with ``[meta, rows]`` bodies.
+def entries(pages: DataFrame) -> DataFrame:
+    """One row per row of every page: page, position, indicator, entity, year, value, problem.
 
-    Rows without an entity or a value are dropped; of several values for a cell the last one wins,
-    by page and position.  Bodies without a second element hold no rows.
+    ``pages`` has (page, body) with ``[meta, rows]`` bodies, each parsed once.  A page without rows, which is
+    no problem, and one that isn't whole JSON or whose second element is no list have one row
+    without a position.  A row needs to be an object, with a period that is a whole number and a
+    value that is a number of up to 23 digits before the point; a missing value is no problem.
     """
-    parts = F.from_json("body", "array<string>")
-    rows = F.from_json(F.get(parts, F.lit(1)), ROW)
-    entries = pages.select("page", F.posexplode(rows).alias("position", "row")).select(
+    parsed = pages.select("page", F.try_parse_json("body").alias("json"), F.col("body").isNotNull().alias("given"))
+    second = F.try_variant_get("json", "$[1]", "variant")
+    rows = parsed.select("page", "json", "given", second.alias("second"), F.try_variant_get("json", "$[1]", "array<variant>").alias("rows"))
+    no_list = F.col("second").isNotNull() & ~F.is_variant_null("second") & F.col("rows").isNull()
+    broken = F.col("given") & (F.col("json").isNull() | no_list)
+    found = rows.select("page", broken.alias("broken"), F.posexplode_outer("rows").alias("position", "row"))
+
+    def part(path: str, kind: str = "string"):
+        return F.try_variant_get("row", path, kind)
+
+    read = found.select(
         "page",
         "position",
-        F.col("row.indicator.id").alias("indicator"),
-        F.col("row.countryiso3code").alias("entity"),
-        F.col("row.date").try_cast("int").alias("year"),
-        F.col("row.value").alias("value"),
+        part("$.indicator.id").alias("indicator"),
+        part("$.countryiso3code").alias("entity"),
+        part("$.date").alias("_date"),
+        part("$.date").try_cast("int").alias("year"),
+        part("$.value").alias("_value"),
+        part("$.value", fixed.OFFICIAL_DECIMAL).alias("value"),
+        "broken",
+        (F.col("position").isNotNull() & ~F.coalesce(F.schema_of_variant("row").startswith("OBJECT"), F.lit(False))).alias("_odd"),
+    )
+    used = (F.coalesce("entity", F.lit("")) != "") & F.col("_value").isNotNull()
+    undated = F.col("year").isNull() & (F.col("_date").isNotNull() | used)
+    problem = (
+        F.when(F.col("broken"), MALFORMED_PAGE)
+        .when(F.col("_odd"), MALFORMED_ROW)
+        .when(undated, BAD_PERIOD)
+        .when(used & F.col("value").isNull(), BAD_VALUE)
     )
-    usable = entries.where("coalesce(entity, '') <> '' AND value IS NOT NULL")
+    return read.select("page", "position", "indicator", "entity", "year", "value", problem.alias("problem"))
+
+
+def cells(rows: DataFrame) -> DataFrame:
+    """(indicator, entity, year, value) of the rows of :func:`entries` without a problem.
+
+    Rows without an entity or a value are left out; of several values for a cell the last one wins,
+    by page and position.
+    """
+    usable = rows.where("problem IS NULL AND coalesce(entity, '') <> '' AND value IS NOT NULL")
     return usable.groupBy("indicator", "entity", "year").agg(
         F.max_by("value", F.struct("page", "position")).alias("value")
     )
 
 
+def flatten_pages(pages: DataFrame) -> DataFrame:
+    """The cells of the pages; the first problem met ends the job, so that nothing is lost unseen."""
+    found = F.concat_ws(" ", "problem", F.lit("on page"), "page", F.lit("at"), "position")
+    sound = F.when(F.col("problem").isNull(), True).otherwise(F.raise_error(found).cast("boolean"))
+    return cells(entries(pages).where(sound))
+
+
+def split_pages(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The cells of the pages, and what was rejected as (page, position, problem).
+
+    The pages are parsed once, into a staged copy that both frames read.
+    """
+    rows = stage(entries(pages), "entries")
+    return cells(rows), rows.where("problem IS NOT NULL").select("page", "position", "problem")
+
+
 def page_problems(pages: DataFrame) -> DataFrame:
-    """One row: pages, malformed_pages (bodies that aren't whole JSON), bad_periods (rows whose date is no year)."""
-    parts = F.from_json("body", "array<string>")
-    rows = F.from_json(F.get(parts, F.lit(1)), ROW)
-    bad = F.size(F.filter(rows, lambda r: r["date"].isNotNull() & r["date"].try_cast("int").isNull()))
-    whole = F.try_parse_json("body").isNotNull()
-    return pages.select(whole.alias("whole"), F.when(whole, F.greatest(bad, F.lit(0))).otherwise(0).alias("bad")).agg(
-        F.count("*").alias("pages"),
-        F.count_if(~F.col("whole")).alias("malformed_pages"),
-        F.coalesce(F.sum("bad"), F.lit(0)).alias("bad_periods"),
+    """One row: pages, malformed_pages, bad_periods (rows whose date is no year)."""
+    return entries(pages).agg(
+        F.count_if(F.coalesce("position", F.lit(0)) == 0).alias("pages"),
+        F.count_if(F.col("problem") == MALFORMED_PAGE).alias("malformed_pages"),
+        F.count_if(F.col("problem") == BAD_PERIOD).alias("bad_periods"),
     )
 
 
 def require_pages(pages: DataFrame) -> DataFrame:
-    """The pages, or ValueError if any is malformed or has a row without a readable year."""
-    found = page_problems(pages).first()
-    if found["malformed_pages"] or found["bad_periods"]:
-        raise ValueError(f"{found['malformed_pages']} malformed pages, {found['bad_periods']} rows without a year")
+    """The pages, or ValueError with the number of each problem if there is any."""
+    found = entries(pages).where("problem IS NOT NULL").groupBy("problem").count().orderBy("problem").collect()
+    if found:
+        raise ValueError(", ".join(f"{r['problem']}: {r['count']}" for r in found))
     return pages
 
 
