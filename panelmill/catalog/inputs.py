@@ -21,6 +21,7 @@ from panelmill.session import stage, tune
 FIRST_YEAR, LAST_YEAR = 1995, 2001  # accepted period (the last year is partial)
 START, END = 1995, 2000  # endpoints of change analyses
 CODE_PATTERN = r"^C[0-9]{9}\z"
+RATE_FIXED = "unemployment_rate_corrected"
 DUPLICATE_OFFSET, ORPHAN_OFFSET = 1_000_000_000, 2_000_000_000
 
 
@@ -211,7 +212,8 @@ class Inputs:
 
         life = fixes("life_expectancy", fixed.LIFE_DECIMAL, "187.4", hit(157, 15))
         gdp = fixes("gdp_usd", fixed.GDP_UNIT, "NULL", f"NOT {hit(137, 11)} AND {hit(139, 12)}")
-        return life.unionByName(gdp)
+        rate = fixes("unemployment_rate", RATE_FIXED, "652.0", f"NOT {hit(167, 17)} AND {hit(173, 18)}")
+        return life.unionByName(gdp).unionByName(rate)
 
     @cached_property
     def record_fixes(self) -> DataFrame:
@@ -332,7 +334,10 @@ SELECT country_code, yr_txt AS "year", 'life_expectancy' AS column_name,
 FROM panel_text WHERE solo AND k % 157 = 15
 UNION ALL
 SELECT country_code, yr_txt, 'gdp_usd', 'gdp_unit_corrected', 'NULL', gdp_usd
-FROM panel_text WHERE solo AND k % 137 <> 11 AND k % 139 = 12""",
+FROM panel_text WHERE solo AND k % 137 <> 11 AND k % 139 = 12
+UNION ALL
+SELECT country_code, yr_txt, 'unemployment_rate', 'unemployment_rate_corrected', '652.0', unemployment_rate
+FROM panel_text WHERE solo AND k % 167 <> 17 AND k % 173 = 18""",
     "record_fixes": """
 SELECT raw_record_id, 'population_scale_corrected' AS issue_type, population AS cleaned_value
 FROM panel_text WHERE k % 149 = 13""",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from panelmill import fixed
 import panelmill.catalog.statistics  # noqa: F401 - defines the step "changes"
 from panelmill.catalog.base import query
-from panelmill.catalog.cleaning import annotated, audit_of, clean_of
+from panelmill.catalog.cleaning import AUDIT_SQL, CLEAN_SQL, annotated, audit_of, clean_of
 from panelmill.catalog.inputs import (
     CODE,
     END,
@@ -25,11 +25,12 @@ from panelmill.catalog.inputs import (
     record_copies,
 )
 from panelmill.catalog.profiling import t
+from panelmill.functions import text
 from panelmill.operators import coverage, inject, keyed, retention
-from panelmill.plans import gates, refresh, runlog, views
+from panelmill.plans import gates, load, refresh, runlog, views
 from panelmill.session import scratch_dir, stage
 from panelmill.sources import landing, payload, reports
-from panelmill.sources.versions import VersionedTable
+from panelmill.sources.versions import Conflict, VersionedSet, VersionedTable
 
 QUOTED = ", ".join(f'"{c}"' for c in fixed.SOURCE_COLUMNS)
 
@@ -57,15 +58,16 @@ def s2_record_id(i: Inputs):
 
 @query(
     "s2_keyless_ids",
-    "SELECT count(*) AS records, count(*) AS distinct_ids, CAST(0 AS BIGINT) AS missing_ids FROM lineitem",
+    "SELECT count(*) AS records, count(*) AS distinct_ids, CAST(1 AS BIGINT) AS first_id, count(*) AS last_id FROM lineitem",
 )
 def s2_keyless_ids(i: Inputs):
-    """Record ids of a table without a key are unique and complete."""
+    """Record ids of a table without a key are dense from 1."""
     loaded = landing.with_record_id(i.table("lineitem").select("l_orderkey", "l_linenumber"))
     return loaded.agg(
         F.count("*").alias("records"),
         F.count_distinct("raw_record_id").alias("distinct_ids"),
-        F.count_if(F.col("raw_record_id").isNull()).alias("missing_ids"),
+        F.min("raw_record_id").alias("first_id"),
+        F.max("raw_record_id").alias("last_id"),
     )
 
 
@@ -123,17 +125,67 @@ def w2_retention(i: Inputs):
     return parts[0].unionByName(parts[1])
 
 
+def tree(i: Inputs) -> DataFrame:
+    """Files below dated folders: most hold the one known file, some another one or a folder as well."""
+    held = (
+        "CASE WHEN event_id % 5 = 0 THEN array('/panel.csv', '/notes.txt') WHEN event_id % 5 = 1 THEN array('/old/panel.csv') "
+        "WHEN event_id % 5 = 2 THEN array('/other.csv') ELSE array('/panel.csv') END"
+    )
+    files = i.events.where("event_type <> 'error'").select("event_id", "ts", F.explode(F.expr(held)).alias("file"))
+    return files.select(F.concat(F.date_format("ts", fixed.SNAPSHOT_FORMAT), "file").alias("path"), "event_id")
+
+
+@query(
+    "w2_tree_retention",
+    f"""WITH f AS (SELECT strftime(ts, '%Y-%m-%d_%H%M%S_%f') || 'Z' AS name, date_trunc('microsecond', ts) AS stamp, event_id FROM events WHERE event_type <> 'error'),
+        e AS (SELECT name, stamp, count(*) AS n, min(event_id % 5) AS kind, bool_or(event_id % 7 = 0) AS shielded FROM f GROUP BY name, stamp),
+        r AS (SELECT *, row_number() OVER (ORDER BY stamp DESC, name DESC) AS newest FROM e)
+        SELECT name FROM r WHERE newest > 3 AND NOT shielded AND n = 1 AND kind >= 3
+          AND stamp < TIMESTAMP '2024-01-31' - INTERVAL {AGES['snapshot']} DAY""",
+)
+def w2_tree_retention(i: Inputs):
+    """Dated folders that may go: old, not among the newest, unprotected, holding the one known file only."""
+    files = tree(i)
+    protected = files.where("event_id % 7 = 0")
+    found = retention.tree_candidates(
+        files, fixed.SNAPSHOT_NAME, fixed.SNAPSHOT_FORMAT, NOW, AGES["snapshot"], protected, "panel.csv"
+    )
+    return found.select("name")
+
+
+ZONES = ["", "Z", "+02", " -05:30", "+0200", " UTC", "+25:00", " Mars"]
+
+
+@query(
+    "p8_zoned_stamps",
+    f"""SELECT event_id, z < 6 AS valid, CASE WHEN z < 6 THEN strftime(date_trunc('second', ts), '%Y-%m-%d %H:%M:%S') END AS read
+        FROM (SELECT event_id, ts, event_id % {len(ZONES)} AS z FROM events)""",
+)
+def p8_zoned_stamps(i: Inputs):
+    """Timestamps with a zone behind them: valid where the zone is one, and read without it."""
+    zone = F.element_at(F.array(*[F.lit(z) for z in ZONES]), (F.col("event_id") % len(ZONES) + 1).cast("int"))
+    stamps = i.events.select("event_id", F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), zone).alias("stamp"))
+    return stamps.select(
+        "event_id",
+        text.is_valid("stamp", "timestamp").alias("valid"),
+        F.date_format(text.as_timestamp("stamp"), "yyyy-MM-dd HH:mm:ss").alias("read"),
+    )
+
+
+VALUE_SOURCES = {
+    "gdp_usd": "gdp",
+    "population": "population",
+    "life_expectancy": "life",
+    "unemployment_rate": "unemp",
+    "co2_emissions_per_capita": "co2",
+    "access_to_electricity_pct": "elec",
+}
+
+
 def pages(i: Inputs) -> DataFrame:
     """One page of JSON per order: six indicator rows, some without entity or value."""
     facts = i.order_facts.withColumn("code", F.expr(f"CASE WHEN {hit(61, 3)} THEN '' ELSE {CODE.format('custkey')} END"))
-    sources = {
-        "gdp_usd": f"CASE WHEN NOT {hit(139, 12)} THEN gdp END",
-        "population": "population",
-        "life_expectancy": "life",
-        "unemployment_rate": "unemp",
-        "co2_emissions_per_capita": "co2",
-        "access_to_electricity_pct": "elec",
-    }
+    sources = VALUE_SOURCES | {"gdp_usd": f"CASE WHEN NOT {hit(139, 12)} THEN gdp END"}
     rows = ", ".join(
         f"named_struct('indicator', named_struct('id', '{name}'), 'countryiso3code', code, "
         f"'date', CAST(yr AS STRING), 'value', CAST({value} AS DECIMAL(20,2)))"
@@ -152,14 +204,7 @@ def pages(i: Inputs) -> DataFrame:
         f"""SELECT '{name}' AS indicator, 'C' || lpad(CAST(custkey AS VARCHAR), 9, '0') AS entity, yr AS "year",
             CAST(arg_max({value}, k) AS DOUBLE) AS value FROM order_facts
             WHERE k % 61 <> 3 {"AND k % 139 <> 12" if name == "gdp_usd" else ""} GROUP BY custkey, yr"""
-        for name, value in {
-            "gdp_usd": "gdp",
-            "population": "population",
-            "life_expectancy": "life",
-            "unemployment_rate": "unemp",
-            "co2_emissions_per_capita": "co2",
-            "access_to_electricity_pct": "elec",
-        }.items()
+        for name, value in VALUE_SOURCES.items()
     ),
     "order_facts",
 )
@@ -168,18 +213,58 @@ def s4_flatten_pages(i: Inputs):
     return payload.flatten_pages(pages(i))
 
 
+def with_bad_pages(i: Inputs) -> DataFrame:
+    """Good pages, pages cut short, pages whose periods are no year, rows that are no objects, values in words."""
+    good = pages(i)
+    cut = good.where("page % 53 = 4").selectExpr("page", "left(body, length(body) - 9) AS body")
+    dated = good.where("page % 59 = 5").selectExpr("page", """regexp_replace(body, '"date":"', '"date":"Q') AS body""")
+    odd = good.where("page % 71 = 6").selectExpr("page", "concat('[{\"page\":', page, '},[7,{}]]') AS body")
+    worded = good.where("page % 73 = 7").selectExpr(
+        "page", """concat('[{},[{"indicator":{"id":"i"},"countryiso3code":"E","date":"2000","value":"many"}]]') AS body"""
+    )
+    return good.union(cut).union(dated).union(odd).union(worded)
+
+
 @query(
     "s4_bad_pages",
-    """SELECT count(*) + count(*) FILTER (WHERE k % 53 = 4) + count(*) FILTER (WHERE k % 59 = 5) AS pages,
+    """SELECT count(*) + count(*) FILTER (WHERE k % 53 = 4) + count(*) FILTER (WHERE k % 59 = 5)
+         + count(*) FILTER (WHERE k % 71 = 6) + count(*) FILTER (WHERE k % 73 = 7) AS pages,
        count(*) FILTER (WHERE k % 53 = 4) AS malformed_pages, 6 * count(*) FILTER (WHERE k % 59 = 5) AS bad_periods FROM order_facts""",
     "order_facts",
 )
 def s4_bad_pages(i: Inputs):
-    """Pages cut short and periods that are no year, next to good ones."""
-    good = pages(i)
-    cut = good.where("page % 53 = 4").selectExpr("page", "left(body, length(body) - 9) AS body")
-    dated = good.where("page % 59 = 5").selectExpr("page", """regexp_replace(body, '"date":"', '"date":"Q') AS body""")
-    return payload.page_problems(good.union(cut).union(dated))
+    """What is wrong with pages, next to good ones."""
+    return payload.page_problems(with_bad_pages(i))
+
+
+@query(
+    "s4_rejected_rows",
+    """SELECT k AS page, CAST(NULL AS INTEGER) AS "position", 'malformed page' AS problem FROM order_facts WHERE k % 53 = 4
+       UNION ALL SELECT k, CAST(unnest(range(6)) AS INTEGER), 'unreadable period' FROM order_facts WHERE k % 59 = 5
+       UNION ALL SELECT k, 0, 'malformed row' FROM order_facts WHERE k % 71 = 6
+       UNION ALL SELECT k, 0, 'unreadable value' FROM order_facts WHERE k % 73 = 7""",
+    "order_facts",
+)
+def s4_rejected_rows(i: Inputs):
+    """The pages and rows that are set aside while the others load."""
+    _, rejected = payload.split_pages(with_bad_pages(i))
+    return rejected
+
+
+@query(
+    "s4_accepted_cells",
+    " UNION ALL ".join(
+        f"""SELECT '{name}' AS indicator, 'C' || lpad(CAST(custkey AS VARCHAR), 9, '0') AS entity, yr AS "year",
+            CAST(arg_max({value}, k) AS DOUBLE) AS value FROM order_facts
+            WHERE k % 61 <> 3 {"AND k % 139 <> 12" if name == "gdp_usd" else ""} GROUP BY custkey, yr"""
+        for name, value in VALUE_SOURCES.items()
+    ),
+    "order_facts",
+)
+def s4_accepted_cells(i: Inputs):
+    """Cells of the good pages, with the bad ones set aside."""
+    accepted, _ = payload.split_pages(with_bad_pages(i))
+    return accepted
 
 
 @query(
@@ -231,7 +316,7 @@ def s6_assemble_panel(i: Inputs):
 )
 def s10_typeof(i: Inputs):
     """Types of the clean panel."""
-    return landing.types_of(clean_of(i, annotated(i.land())), ["raw_record_id", "year", *fixed.INDICATORS])
+    return landing.types_of(clean_of(i, annotated(i)), ["raw_record_id", "year", *fixed.INDICATORS])
 
 
 @query(
@@ -416,15 +501,8 @@ def g_row_count(i: Inputs):
 @query(
     "g7_pre_post",
     """SELECT (SELECT count(*) FROM panel_raw) AS raw_rows, (SELECT count(*) FROM clean_rows) AS cleaned_rows,
-       count(*) AS documented_fixes, count(r.raw_record_id) AS targets_found,
-       count(*) FILTER (WHERE trim(CASE e.column_name WHEN 'life_expectancy' THEN r.life_expectancy ELSE r.gdp_usd END, ' ') = e.original_value
-         AND CASE e.column_name WHEN 'life_expectancy' THEN CAST(s.life_expectancy AS DECIMAL(38,4))
-             ELSE CAST(s.gdp_usd AS DECIMAL(38,4)) END = CAST(e.cleaned_value AS DECIMAL(38,4))
-         AND a.original_value = e.original_value AND a.cleaned_value = e.cleaned_value AND a.action_taken = 'corrected') AS targets_corrected
-       FROM fixes e LEFT JOIN clean_rows s ON s.country_code = e.country_code AND s."year" = CAST(e."year" AS INTEGER)
-       LEFT JOIN panel_raw r ON r.raw_record_id = s.raw_record_id
-       LEFT JOIN audit a ON a.raw_record_id = s.raw_record_id AND a.column_name = e.column_name AND a.issue_type = e.issue_type""",
-    "clean_rows",
+       count(*) AS documented_fixes, count(raw_value) AS targets_found, count(*) FILTER (passed) AS targets_corrected FROM verified""",
+    "verified",
 )
 def g7_pre_post(i: Inputs):
     """Counts around the documented corrections."""
@@ -578,6 +656,140 @@ def m6_publish(i: Inputs):
     return log.runs().select("status", "staging_rows", "typed_rows", "error_message")
 
 
+@query(
+    "m6_two_writers",
+    """SELECT country_code, "year", CAST(gdp_usd AS DOUBLE) AS gdp_usd, CAST(1 AS BIGINT) AS conflicts,
+       CAST(3 AS BIGINT) AS commits FROM (
+         SELECT * REPLACE (CASE WHEN "year" >= 1998 THEN CAST(2 * coalesce(gdp_usd, 1.00) AS DECIMAL(20,2)) ELSE coalesce(gdp_usd, 1.00) END AS gdp_usd)
+         FROM panel_typed)""",
+    "panel_typed",
+)
+def m6_two_writers(i: Inputs):
+    """Two batches merged into the same version: the second to publish is refused and merges anew."""
+    i.staging = stage(i.staging, "feed")
+    table = VersionedTable(i.spark, scratch_dir(i.spark, "typed"), "year")
+    log = runlog.RunLog(i.spark, scratch_dir(i.spark, "runs"))
+
+    def load(batch: DataFrame) -> None:
+        refresh.refresh(batch, table, log, i.panel_dim, "typed_feed", FIRST_YEAR, LAST_YEAR, None)
+
+    load(early(filled(i)).where("year <= '1996'"))
+    mine = stage(keyed.cast_panel(late(filled(i))), "mine")
+    periods = sorted(r[0] for r in mine.select("year").distinct().collect())
+    written = refresh.write_upsert(table, mine, periods)
+    load(early(filled(i)).where("year >= '1996'"))
+    conflicts = 0
+    try:
+        table.publish(written)
+    except Conflict:
+        conflicts = 1
+        refresh.merge(table, mine, periods, "", None, 1)
+    commits = table.commits().count()
+    return table.read().select(
+        "country_code", "year", F.col("gdp_usd").cast("decimal(20,2)").alias("gdp_usd"),
+        F.lit(conflicts).cast("bigint").alias("conflicts"), F.lit(commits).alias("commits"),
+    )
+
+
+HISTORY_TIMES = ["2024-01-01 00:00:00", "2024-02-01 00:00:00", "2024-03-01 00:00:00"]
+
+
+@query(
+    "m4_history",
+    f"""SELECT country_code, "year", CAST(gdp_usd AS DOUBLE) AS gdp_usd, valid_from, valid_to FROM (
+          SELECT country_code, "year", gdp_usd, '{HISTORY_TIMES[0]}' AS valid_from,
+            CASE WHEN "year" >= 1998 AND gdp_usd <> 2 * gdp_usd THEN '{HISTORY_TIMES[1]}' END AS valid_to FROM panel_typed WHERE "year" <= 1999
+          UNION ALL SELECT country_code, "year", 2 * gdp_usd, '{HISTORY_TIMES[1]}', NULL FROM panel_typed
+          WHERE "year" >= 1998 AND ("year" > 1999 OR gdp_usd <> 2 * gdp_usd))""",
+    "panel_typed",
+)
+def m4_history(i: Inputs):
+    """States of every key with their times: early years, later ones revised, and the same batch again."""
+    first, second, third = (F.lit(x).cast("timestamp") for x in HISTORY_TIMES)
+    keys, columns = ["country_code", "year"], ["gdp_usd"]
+    history = keyed.begin_history(keyed.cast_panel(early(i.staging)), keys, columns, first)
+    revised = keyed.cast_panel(late(i.staging))
+    for at in (second, third):
+        history = stage(keyed.track_changes(history, revised, keys, columns, at), "history")
+    shown = {c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in keyed.PERIOD}
+    return history.withColumns(shown | {"gdp_usd": F.col("gdp_usd").cast("decimal(20,2)")})
+
+
+# --- loads -----------------------------------------------------------------------------------
+
+
+def table_set(i: Inputs) -> tuple[VersionedSet, runlog.RunLog]:
+    base = scratch_dir(i.spark, "tables")
+    return VersionedSet(i.spark, base, [load.CLEAN, load.AUDIT]), runlog.RunLog(i.spark, f"{base}-runs")
+
+
+def shown_clean(df: DataFrame) -> DataFrame:
+    return df.drop("cleaned_at").withColumn("ingested_at", F.date_format("ingested_at", "yyyy-MM-dd HH:mm:ss"))
+
+
+@query("r4_load_clean", f"SELECT {CLEAN_SQL} FROM clean_rows", "clean_rows")
+def r4_load_clean(i: Inputs):
+    """The clean panel as it is published together with its audit log."""
+    tables, log = table_set(i)
+    load.load_clean(i.land().panel_raw, i.panel_dim, tables, log, FIRST_YEAR, LAST_YEAR, i.documented_fixes, i.record_fixes)
+    return shown_clean(tables.read(load.CLEAN))
+
+
+def met_fixes(i: Inputs) -> DataFrame:
+    """The documented corrections whose record still has the code, the year and the value they name."""
+    records = i.panel_raw.select(
+        F.upper(text.trimmed("country_code")).alias("country_code"), text.trimmed("year").alias("year"), *fixed.INDICATORS
+    )
+    cells = records.unpivot(["country_code", "year"], fixed.INDICATORS, "column_name", "value")
+    cells = cells.select("country_code", "year", "column_name", text.trimmed("value").alias("original_value"))
+    return i.documented_fixes.join(cells, cells.columns, "left_semi")
+
+
+def maintained(i: Inputs) -> VersionedSet:
+    """The published tables of a load without documented corrections, which are applied afterwards, twice."""
+    tables, log = table_set(i)
+    i.land()
+    load.load_clean(i.panel_raw, i.panel_dim, tables, log, FIRST_YEAR, LAST_YEAR, None, i.record_fixes)
+    for _ in range(2):
+        load.apply_fixes(met_fixes(i), i.panel_raw, tables, log)
+    return tables
+
+
+@query("g7_apply_fixes", f"SELECT {CLEAN_SQL} FROM clean_rows", "clean_rows")
+def g7_apply_fixes(i: Inputs):
+    """The published clean panel after a maintenance update."""
+    return shown_clean(maintained(i).read(load.CLEAN))
+
+
+@query("g7_apply_fixes_audit", f"SELECT {AUDIT_SQL} FROM audit", "audit")
+def g7_apply_fixes_audit(i: Inputs):
+    """The published audit log after a maintenance update."""
+    return maintained(i).read(load.AUDIT).drop("logged_at")
+
+
+@query(
+    "s6_extract_snapshot",
+    f"""SELECT coalesce(n.country_name, d.country_code) AS country_name, d.country_code, coalesce(n.region, '') AS region,
+        coalesce(n.income_group, '') AS income_group, CAST(y.yr AS VARCHAR) AS "year",
+        {", ".join(f"CAST(p.{c} AS DOUBLE) AS {c}" for c in fixed.INDICATORS)}, 'feed' AS source_file
+        FROM panel_dim d CROSS JOIN range({FIRST_YEAR}, {LAST_YEAR + 1}) AS y(yr)
+        LEFT JOIN (SELECT 'C' || lpad(CAST(custkey AS VARCHAR), 9, '0') AS code, yr,
+            {", ".join(f"arg_max({v}, k) FILTER ({'k % 139 <> 12' if c == 'gdp_usd' else 'TRUE'}) AS {c}" for c, v in VALUE_SOURCES.items())}
+            FROM order_facts WHERE k % 61 <> 3 GROUP BY ALL) p ON p.code = d.country_code AND p.yr = y.yr
+        LEFT JOIN (SELECT * FROM panel_dim WHERE income_group <> 'BUILDING') n ON n.country_code = d.country_code""",
+    "order_facts panel_dim",
+)
+def s6_extract_snapshot(i: Inputs):
+    """A text snapshot made from paged payloads, after every page and cell has been checked."""
+    path = scratch_dir(i.spark, "snapshot")
+    codes = [(c, code, rank) for c in fixed.INDICATORS for rank, code in enumerate((f"{c}.old", c))]
+    codes = i.spark.createDataFrame(codes, "indicator string, code string, rank int")
+    info = i.panel_dim.where("income_group <> 'BUILDING'")
+    load.extract_snapshot(pages(i), codes, i.panel_dim, info, FIRST_YEAR, LAST_YEAR, path, "feed")
+    read = landing.read_text_landing(i.spark, path).drop("ingested_at")
+    return read.withColumns({c: F.col(c).cast("double") for c in fixed.INDICATORS})
+
+
 def run_events(i: Inputs) -> DataFrame:
     """Run events made of the event table, one run per user: signups and views start, purchases and
     clicks end well, errors end in failure."""

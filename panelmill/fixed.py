@@ -62,7 +62,8 @@ NUMBER_CURRENCY = r"^[$][0-9,]+([.][0-9]+)?\z"
 INPUT_INTEGER = r"^\s*[+-]?[0-9]+\s*\z"
 INPUT_NUMERIC = r"^\s*[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?\s*\z"
 INPUT_TIMESTAMP = (
-    r"^\s*[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]{1,6})?)?)?\s*\z"
+    r"^\s*([0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]{1,6})?)?)?)"
+    r"\s*([Zz]|UTC|utc|GMT|gmt|[+-](0[0-9]|1[0-5])(:?[0-5][0-9](:?[0-5][0-9])?)?)?\s*\z"
 )
 NOT_FINITE = ["nan", "infinity", "+infinity", "-infinity", "inf", "+inf", "-inf"]
 
@@ -81,6 +82,7 @@ FORMAT_STANDARDIZED = "numeric_format_standardized"
 MISSING_NUMERIC = "missing_numeric_value"
 INVALID_NUMERIC = "invalid_numeric_value"
 OUT_OF_RANGE = "numeric_out_of_range"
+OVERFLOW = "numeric_overflow"  # of this library: a number with more digits than its type holds
 DUPLICATE_KEY = "duplicate_country_year"
 POPULATION_SCALE = "population_scale_corrected"
 LIFE_DECIMAL = "life_expectancy_decimal_corrected"

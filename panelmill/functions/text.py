@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -96,9 +97,11 @@ def as_integer(c: Column | str) -> Column:
 
 
 def as_timestamp(c: Column | str) -> Column:
-    """Text to a timestamp without time zone, only for full date-time or date text."""
-    c = col(c)
-    return F.when(matches(c, fixed.INPUT_TIMESTAMP), F.btrim(c).try_cast("timestamp_ntz"))
+    """Text to a timestamp without time zone, only for full date-time or date text.
+
+    A zone behind it is valid and left out of account: the wall-clock time is what is read.
+    """
+    return F.regexp_extract(col(c), fixed.INPUT_TIMESTAMP, 1).try_cast("timestamp_ntz")
 
 
 def as_utc(c: Column | str) -> Column:
@@ -144,8 +147,12 @@ def outside_sql(c: str, lo=None, hi=None) -> str:
     return f"coalesce(NOT ({within_sql(c, lo, hi)}), FALSE)"
 
 
-def number_sql(c: str) -> str:
-    """Number behind currency, percent or decimal-comma formatting of SQL text ``c``, else NULL.
+# A plain number of up to so many characters fits the widest decimal with all its digits.
+EXACT_LENGTH = 17
+
+
+def number_text_sql(c: str) -> str:
+    """Plain number text behind currency, percent or decimal-comma formatting of SQL text ``c``, else ''.
 
     One formatting is removed, tested in that order, so ``1,234`` reads as 1.234 and ``-7,5`` as
     -7.5, while ``+5`` is rejected.  Plain numbers, the usual case, cost one regex test.
@@ -157,8 +164,59 @@ def number_sql(c: str) -> str:
         f"ELSE regexp_replace({text}, {text_sql(fixed.NUMBER_COMMA_SIGNED)}, '$1.$2') END"
     )
     read = f"regexp_extract({bare}, {text_sql(fixed.NUMBER_PLAIN)}, 0)"
-    plain = matches_sql(text, fixed.NUMBER_PLAIN)
-    return f"TRY_CAST(CASE WHEN {plain} THEN {text} ELSE {read} END AS {fixed.OFFICIAL_DECIMAL})"
+    return f"CASE WHEN {matches_sql(text, fixed.NUMBER_PLAIN)} THEN {text} ELSE {read} END"
+
+
+def decimal_sql(text: str) -> str:
+    """A plain number text as the widest decimal, NULL where it doesn't fit."""
+    return f"TRY_CAST({text} AS {fixed.OFFICIAL_DECIMAL})"
+
+
+def number_sql(c: str) -> str:
+    """Number behind the formatting of SQL text ``c``, else NULL."""
+    return decimal_sql(number_text_sql(c))
+
+
+def size_key(whole: str, part: str) -> str:
+    return f"{len(whole):010d}{whole}.{part}"
+
+
+def size_sql(text: str) -> str:
+    """The size of a plain number text of any length, without its sign, as text that sorts like it.
+
+    The number of digits before the point goes first, then these digits, then those behind it.
+    """
+    digits = f"ltrim('0', split_part(ltrim('-', {text}), '.', 1))"
+    return f"concat(lpad(CAST(length({digits}) AS STRING), 10, '0'), {digits}, '.', rtrim('0', split_part({text}, '.', 2)))"
+
+
+def beyond_text_sql(text: str, bound, above: bool) -> str:
+    """Whether a plain number text is above (or below) a bound, by its sign and digits alone."""
+    bound = Decimal(str(bound))
+    whole, _, part = f"{abs(bound):f}".partition(".")
+    limit = size_key(whole.lstrip("0"), part.rstrip("0"))
+    negative, size = f"startswith({text}, '-')", size_sql(text)
+    if above:
+        return f"(NOT {negative} AND {size} > '{limit}')" if bound >= 0 else f"(NOT {negative} OR {size} < '{limit}')"
+    return f"({negative} AND {size} > '{limit}')" if bound <= 0 else f"({negative} OR {size} < '{limit}')"
+
+
+def beyond_sql(text: str, number: str, lo=None, hi=None) -> str:
+    """Whether a plain number text is outside its bounds, whatever its length; ``number`` is its decimal.
+
+    Texts that the decimal may round, or that don't fit it, are compared digit by digit.
+    """
+    if lo is None and hi is None:
+        return "FALSE"
+    sides = [beyond_text_sql(text, lo, False)] if lo is not None else []
+    sides += [beyond_text_sql(text, hi, True)] if hi is not None else []
+    return f"CASE WHEN length({text}) > {EXACT_LENGTH} THEN {' OR '.join(sides)} ELSE {outside_sql(number, lo, hi)} END"
+
+
+def fits_sql(number: str, kind: str) -> str:
+    """Whether a number rounded to the scale of a type fits it; a number that is NULL doesn't."""
+    rounded = f"round({number}, 0)" if kind == "bigint" else number
+    return f"TRY_CAST({rounded} AS {kind}) IS NOT NULL"
 
 
 def clean_numeric(c: str, lo=None, hi=None) -> Column:
@@ -166,25 +224,26 @@ def clean_numeric(c: str, lo=None, hi=None) -> Column:
     value = number_sql(c)
     if lo is None and hi is None:
         return F.expr(value)
-    return F.expr(f"CASE WHEN {within_sql(value, lo, hi)} THEN {value} END")
+    return F.expr(f"CASE WHEN NOT ({beyond_sql(number_text_sql(c), value, lo, hi)}) THEN {value} END")
 
 
 def clean_numerics(df: DataFrame, specs: dict[str, tuple]) -> DataFrame:
     """Add cleaned number columns: name to (SQL text, lo, hi).
 
-    Numbers are read in one projection and compared in the next, so each is read once; inside one
-    expression it would be read again for every mention.
+    Texts are read in one projection, cast in the next and compared in the last, so each is read once;
+    inside one expression it would be read again for every mention.
     """
-    read = df.withColumns({f"_number_{name}": F.expr(number_sql(c)) for name, (c, _, _) in specs.items()})
+    read = df.withColumns({f"_text_{name}": F.expr(number_text_sql(c)) for name, (c, _, _) in specs.items()})
+    read = read.withColumns({f"_number_{name}": F.expr(decimal_sql(f"_text_{name}")) for name in specs})
 
     def bounded(name: str, lo, hi) -> Column:
         number = f"_number_{name}"
         if lo is None and hi is None:
             return F.col(number)
-        return F.expr(f"CASE WHEN {within_sql(number, lo, hi)} THEN {number} END")
+        return F.expr(f"CASE WHEN NOT ({beyond_sql(f'_text_{name}', number, lo, hi)}) THEN {number} END")
 
     return read.withColumns({name: bounded(name, lo, hi) for name, (_, lo, hi) in specs.items()}).drop(
-        *[f"_number_{name}" for name in specs]
+        *[f"_{kind}_{name}" for name in specs for kind in ("text", "number")]
     )
 
 

@@ -15,7 +15,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelmill import fixed
-from panelmill.functions.text import blank_sql, matches_any_sql, matches_sql, outside_sql, text_sql, trim_sql
+from panelmill.functions.text import (
+    beyond_sql,
+    blank_sql,
+    decimal_sql,
+    fits_sql,
+    matches_any_sql,
+    matches_sql,
+    number_sql,
+    text_sql,
+    trim_sql,
+)
 
 AUDIT = ["column_name", "issue_type", "original_value", "cleaned_value", "action_taken"]
 NO_VALUE = "CAST(NULL AS STRING)"
@@ -130,12 +140,30 @@ def _to_null(c: str, issue: str) -> str:
     return entry(c, text_sql(issue), c, None, fixed.SET_TO_NULL)
 
 
-def _out_of_range(c: str, lo, hi) -> tuple[str, str]:
-    value = f"TRY_CAST({trim_sql(c)} AS {fixed.OFFICIAL_DECIMAL})"
-    return (
-        matches_sql(trim_sql(c), fixed.NUMBER_PLAIN),
-        when((outside_sql(value, lo, hi), _to_null(c, fixed.OUT_OF_RANGE))),
-    )
+def whole_digits(kind: str) -> int:
+    """Digits before the point that a type always holds."""
+    if kind == "bigint":
+        return 18
+    precision, scale = kind.removeprefix("decimal(").removesuffix(")").split(",")
+    return int(precision) - int(scale)
+
+
+def _overflows(c: str, number: str) -> str:
+    """Whether a number in bounds has more digits than the type of its column holds.
+
+    Texts with few characters are settled by their length.
+    """
+    kind = fixed.CLEAN_TYPES[c]
+    return f"CASE WHEN length({trim_sql(c)}) >= {whole_digits(kind)} THEN NOT ({fits_sql(number, kind)}) ELSE FALSE END"
+
+
+def _plain_issues(c: str, lo, hi, overflow: bool) -> tuple[str, str]:
+    """Plain numbers outside their bounds, or (in columns without an upper one) too long for their type."""
+    text, number = trim_sql(c), decimal_sql(trim_sql(c))
+    branches = [(beyond_sql(text, number, lo, hi), _to_null(c, fixed.OUT_OF_RANGE))]
+    if overflow and hi is None:
+        branches.append((_overflows(c, number), _to_null(c, fixed.OVERFLOW)))
+    return matches_sql(text, fixed.NUMBER_PLAIN), when(*branches)
 
 
 def format_fix_issues() -> list[str]:
@@ -159,24 +187,35 @@ def set_null_issues(columns: list[str]) -> list[str]:
 
 def out_of_range_issues(bounds: dict[str, tuple]) -> list[str]:
     """Plain numbers outside their bounds."""
-    return [when(_out_of_range(c, lo, hi)) for c, (lo, hi) in bounds.items()]
+    return [when(_plain_issues(c, lo, hi, False)) for c, (lo, hi) in bounds.items()]
+
+
+def formatted_overflow_issues(bounds: dict[str, tuple]) -> list[str]:
+    """Numbers behind a format that are too long for their type, in columns without an upper bound."""
+    return [
+        when((f"{matches_any_sql(trim_sql(c), OTHER_FORMATS)} AND {_overflows(c, number_sql(c))}", _to_null(c, fixed.OVERFLOW)))
+        for c, (_, hi) in bounds.items()
+        if hi is None
+    ]
 
 
 def numeric_issues(bounds: dict[str, tuple]) -> list[str]:
-    """The three detectors above as one test chain per column.
+    """The detectors above as one test chain per column, with numbers too long for their type.
 
-    Their conditions exclude each other, so a column has at most one of these issues, and an
-    ordinary number is settled by the first test and one range comparison.
+    The conditions of a chain exclude each other, and an ordinary number is settled by the first test
+    and one range comparison.  Formatted numbers can be corrected and too long at once, so that
+    these have chains of their own.
     """
-    return [
+    chains = [
         when(
-            _out_of_range(c, lo, hi),
+            _plain_issues(c, lo, hi, True),
             (f"{blank_sql(c)} IS NULL", _to_null(c, fixed.MISSING_NUMERIC)),
             *([_format_fix(c)] if c in FORMAT_FIXES else []),
             (f"NOT {matches_any_sql(trim_sql(c), OTHER_FORMATS)}", _to_null(c, fixed.INVALID_NUMERIC)),
         )
         for c, (lo, hi) in bounds.items()
     ]
+    return chains + formatted_overflow_issues(bounds)
 
 
 def all_issues(first: int, last: int, bounds: dict[str, tuple]) -> list[str]:

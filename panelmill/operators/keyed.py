@@ -7,7 +7,7 @@ files that are being read.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelmill import fixed
@@ -73,6 +73,40 @@ def update_changed(target: DataFrame, fixes: DataFrame, keys: list[str], columns
     )
 
 
+PERIOD = ["valid_from", "valid_to"]
+
+
+def track_changes(history: DataFrame, batch: DataFrame, keys: list[str], columns: list[str], at: Column) -> DataFrame:
+    """A history of a keyed table after a batch: one row per key and state, ``valid_from`` to ``valid_to``.
+
+    The open state of a key, the one without an end, is closed ``at`` that time if a column of the batch
+    differs from it (NULL is a value), and a new one begins; unknown keys begin; states that are equal
+    keep their times, so that the same batch again changes nothing.  Keys are unique in the
+    batch.  Open states and batch meet in one full join; closed ones pass by.
+    """
+    state = [*keys, *columns]
+    now = history.where("valid_to IS NULL").select(F.struct(*state, "valid_from").alias("old"), *[F.col(k).alias(f"_old_{k}") for k in keys])
+    new = batch.select(F.struct(*state).alias("new"), *[F.col(k).alias(f"_new_{k}") for k in keys])
+    met = now.join(new, same([(F.col(f"_old_{k}"), F.col(f"_new_{k}")) for k in keys]), "full")
+    differs = any_of([distinct_from(f"old.{c}", f"new.{c}") for c in columns])
+    begins = F.col("new").isNotNull() & (F.col("old").isNull() | differs)
+    at, never = at.cast("timestamp"), F.lit(None).cast("timestamp")
+
+    def row(side: str, start: Column, end: Column) -> Column:
+        return F.struct(*[F.col(f"{side}.{c}").alias(c) for c in state], start.alias("valid_from"), end.alias("valid_to"))
+
+    kept = F.when(F.col("old").isNotNull(), row("old", F.col("old.valid_from"), F.when(begins, at).otherwise(never)))
+    added = F.when(begins, row("new", at, never))
+    rows = met.select(F.explode(F.array(kept, added)).alias("row")).where("row IS NOT NULL").select("row.*")
+    return history.where("valid_to IS NOT NULL").select(*state, *PERIOD).unionByName(rows)
+
+
+def begin_history(batch: DataFrame, keys: list[str], columns: list[str], at: Column) -> DataFrame:
+    """The history of a table's first batch."""
+    start = at.cast("timestamp").alias("valid_from")
+    return batch.select(*keys, *columns, start, F.lit(None).cast("timestamp").alias("valid_to"))
+
+
 def cast_panel(staging: DataFrame) -> DataFrame:
     """Typed panel from staged text; run the gates first, what cannot be cast becomes NULL."""
     decimals = {c: as_decimal(c) for c in fixed.INDICATORS}

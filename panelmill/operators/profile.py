@@ -18,6 +18,7 @@ from panelmill.functions.text import (
     passed,
     trimmed,
 )
+from panelmill.operators.validate import sum_counts
 
 
 def count_columns(df: DataFrame, conditions: dict[str, Column], count_name: str) -> DataFrame:
@@ -55,13 +56,23 @@ def source_counts(df: DataFrame, column: str = "source_file") -> DataFrame:
     return df.groupBy(column).agg(F.count("*").alias("rows_from_source"))
 
 
+def distinct_count(df: DataFrame, keys: list[Column | str], name: str, rows: str | None = None) -> DataFrame:
+    """One row: distinct keys (of one key only those that aren't NULL), and optionally all rows.
+
+    Counted in two levels, groups and then their number, which needs no row to be repeated; several
+    such counts are put side by side by ``sum_counts``, each reading its own columns only.
+    """
+    counted = df.groupBy(*[(F.col(k) if isinstance(k, str) else k).alias(f"_{n}") for n, k in enumerate(keys)]).agg(F.count("*").alias("_n"))
+    whole = F.count("*") if len(keys) > 1 else F.count("_0")
+    return counted.agg(whole.alias(name), *([F.sum("_n").alias(rows)] if rows else []))
+
+
 def key_uniqueness(df: DataFrame, id_column: str, keys: list[str]) -> DataFrame:
     """Rows, distinct ids, distinct composite keys (NULL parts count) and whether all agree."""
-    out = df.agg(
-        F.count("*").alias("total_rows"),
-        F.count_distinct(id_column).alias("unique_record_ids"),
-        F.count_distinct(F.struct(*keys)).alias("unique_country_years"),
-    )
+    ids = distinct_count(df, [id_column], "unique_record_ids", "total_rows")
+    # A constant second part, as a NULL key counts here.
+    both = distinct_count(df, [*keys, F.lit(0)], "unique_country_years")
+    out = sum_counts(ids, both).select("total_rows", "unique_record_ids", "unique_country_years")
     rows = F.col("total_rows")
     return out.withColumn(
         "passed", (rows == F.col("unique_record_ids")) & (rows == F.col("unique_country_years"))

@@ -29,6 +29,42 @@ def parse_stamps(listing: DataFrame, pattern: str, time_format: str, name: str =
     return listing.where(F.rlike(name, F.lit(pattern))).withColumn("stamp", stamp).where("stamp IS NOT NULL")
 
 
+def folder_facts(files: DataFrame, known: str, path: str = "path") -> DataFrame:
+    """(name, files, known_files) of every folder at the top of a listing of relative paths.
+
+    ``known_files`` are those directly in the folder with the one name that is known; anything else in it,
+    a folder within the folder too, counts in ``files`` only.  Counted before the shuffle, so that a folder
+    may hold any number of files.
+    """
+    parts = F.split(path, "/")
+    expected = (F.size(parts) == 2) & (F.element_at(parts, -1) == known)
+    return files.where(F.size(parts) > 1).groupBy(F.element_at(parts, 1).alias("name")).agg(
+        F.count("*").alias("files"), F.count_if(expected).alias("known_files")
+    )
+
+
+def tree_candidates(
+    files: DataFrame,
+    pattern: str,
+    time_format: str,
+    now,
+    days: int,
+    protected: DataFrame,
+    known: str,
+    keep: int = fixed.KEEP_NEWEST,
+) -> DataFrame:
+    """Folders (name, stamp) that may go, from a listing of all files below them by relative path.
+
+    The newest ``keep`` folders by the time in their name stay, then those not strictly older than the
+    cut-off, those that hold or are a protected path, and those with any other content than one
+    file of the known name: what is unknown is never removed.
+    """
+    folders = folder_facts(files, known).withColumn("group", F.lit(""))
+    shields = protected.select(F.element_at(F.split("path", "/"), 1).alias("name")).distinct()
+    old = retention_candidates(folders, pattern, time_format, now, days, shields, keep=keep)
+    return old.where("files = 1 AND known_files = 1").select("name", "stamp")
+
+
 def retention_candidates(
     listing: DataFrame,
     pattern: str,

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from panelmill.functions.numeric import complete, corr3, mean_dec, round_dec, single_value
 from panelmill.functions.text import blank_to_null
+from panelmill.operators.profile import distinct_count
+from panelmill.operators.validate import sum_counts
 
 
 def baseline(df: DataFrame, id_column: str, text_keys: dict[str, str], null_counts: dict[str, str]) -> DataFrame:
@@ -18,12 +20,12 @@ def baseline(df: DataFrame, id_column: str, text_keys: dict[str, str], null_coun
 
     ``text_keys`` and ``null_counts`` map output names to columns.
     """
-    return df.agg(
-        F.count("*").alias("raw_row_count"),
-        F.count_distinct(id_column).alias("unique_raw_ids"),
-        *[F.count_distinct(blank_to_null(c)).alias(name) for name, c in text_keys.items()],
-        *[F.count_if(F.col(c).isNull()).alias(name) for name, c in null_counts.items()],
-    )
+    names = ["raw_row_count", "unique_raw_ids", *text_keys, *null_counts]
+    frames = [distinct_count(df, [id_column], "unique_raw_ids", "raw_row_count")]
+    frames += [distinct_count(df, [blank_to_null(c)], name) for name, c in text_keys.items()]
+    if null_counts:
+        frames.append(df.agg(*[F.count_if(F.col(c).isNull()).alias(name) for name, c in null_counts.items()]))
+    return sum_counts(*frames).select(*names)
 
 
 def overview(df: DataFrame, key: str, period: str, indicators: list[str]) -> DataFrame:

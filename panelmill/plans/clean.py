@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelmill import fixed
-from panelmill.functions.numeric import round_to_bigint
 from panelmill.functions.text import as_timestamp, clean_numerics, trim_sql, trimmed
 from panelmill.operators.dedup import duplicate_issues, first_per_key, panel_keys, panel_order
 from panelmill.operators.detect import all_issues, audit_rows, entry, is_quarantined, when, year_fix
@@ -124,12 +123,13 @@ def clean_panel(
     typed = clean_numerics(kept, {c: (text[c], lo, hi) for c, (lo, hi) in bounds.items()})
     dim = F.coalesce("by_name", "by_code")
     values = {c: F.col(c) for c in bounds}
-    values["population"] = round_to_bigint("population")
+    values["population"] = F.round("population", 0)
     return typed.select(
         ID,
         *[dim[c].alias(c) for c in DIM],
         F.coalesce(F.expr(year_fix()), trimmed("year")).try_cast("smallint").alias("year"),
-        *[values[c].cast(fixed.CLEAN_TYPES[c]).alias(c) for c in fixed.INDICATORS],
+        # Numbers that don't fit their type are NULL, with an audit row of their own.
+        *[values[c].try_cast(fixed.CLEAN_TYPES[c]).alias(c) for c in fixed.INDICATORS],
         trimmed("source_file").alias("source_file"),
         as_timestamp("ingested_at").alias("ingested_at"),
     )

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from panelmill import fixed
 from panelmill.operators.retention import list_files, parse_stamps
+from panelmill.session import stage
 
 
 def text_schema(columns: list[str]) -> StructType:
@@ -44,12 +45,24 @@ def write_text(df: DataFrame, path: str) -> None:
 def with_record_id(df: DataFrame, key: Column | None = None, name: str = "raw_record_id") -> DataFrame:
     """Add a unique record id and the load time.
 
-    With a unique source ``key`` that is the id.  Without one, ids are unique and increasing per
-    partition but not dense; they need no shuffle and no second pass.  Write the result at once:
-    such ids belong to the split of one read.
+    With a unique source ``key`` that is the id.  Without one, ids are dense from 1: the rows are
+    staged with their place within the task that wrote them, tasks are counted, and every row's
+    place is moved on by the rows of earlier tasks, one number per task.  No sort of the rows, and no task
+    sees more than its own.  The ids are those of the staged copy, so that a lost executor or a
+    second read changes none.
     """
-    identifier = key.cast("bigint") if key is not None else F.monotonically_increasing_id() + 1
-    return df.select(identifier.alias(name), "*", F.current_timestamp().alias("pipeline_loaded_at"))
+    if key is not None:
+        return df.select(key.cast("bigint").alias(name), "*", F.current_timestamp().alias("pipeline_loaded_at"))
+    # The upper bits of this number are the task's, the lower 33 the place within it.
+    placed = stage(df.withColumn("_mark", F.monotonically_increasing_id()), "landed")
+    task, place = F.shiftright("_mark", 33), F.col("_mark").bitwiseAND(F.lit((1 << 33) - 1))
+    placed = placed.withColumns({"_task": task, "_place": place})
+    earlier = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    counts = placed.groupBy("_task").agg(F.count("*").alias("_rows"))
+    starts = counts.select("_task", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"))
+    identifier = F.col("_start") + F.col("_place") + 1
+    numbered = placed.join(starts, "_task").select(identifier.alias(name), *df.columns)
+    return numbered.withColumn("pipeline_loaded_at", F.current_timestamp())
 
 
 def latest_stamp(
