@@ -20,6 +20,9 @@ from panelmill.session import stage, tune
 
 FIRST_YEAR, LAST_YEAR = 1995, 2001  # accepted period (the last year is partial)
 START, END = 1995, 2000  # endpoints of change analyses
+# The kinds of defects (the strings in the rules below) and these odd values are those of
+# the data the detectors were made for.
+ODD_LIFE, ODD_RATE, ODD_SHARE, ODD_YEAR = "187.4", "652.0", "102.5", "1899"
 CODE_PATTERN = r"^C[0-9]{9}\z"
 RATE_FIXED = "unemployment_rate_corrected"
 DUPLICATE_OFFSET, ORPHAN_OFFSET = 1_000_000_000, 2_000_000_000
@@ -47,14 +50,14 @@ def indicator_defects() -> list[Defect]:
         Defect(gdp, hit(139, 12), "'NULL'", "null_sentinel"),
         Defect(population, hit(149, 13), artefact, "float_artefact"),
         Defect(population, hit(151, 14), "''", "null_sentinel"),
-        Defect(life, hit(157, 15), "'187.4'", "impossible_value"),
+        Defect(life, hit(157, 15), f"'{ODD_LIFE}'", "impossible_value"),
         Defect(life, hit(163, 16), "'unknown'", "null_sentinel"),
         Defect(unemployment, hit(167, 17), f"concat({unemployment}, '%')", "text_formatting"),
-        Defect(unemployment, hit(173, 18), "'652.0'", "impossible_value"),
+        Defect(unemployment, hit(173, 18), f"'{ODD_RATE}'", "impossible_value"),
         Defect(co2, hit(179, 19), f"replace({co2}, '.', ',')", "text_formatting"),
         Defect(co2, hit(181, 20), f"concat('-', {co2})", "impossible_value"),
         Defect(electricity, hit(191, 21), "'..'", "null_sentinel"),
-        Defect(electricity, hit(193, 22), "'102.5'", "impossible_value"),
+        Defect(electricity, hit(193, 22), f"'{ODD_SHARE}'", "impossible_value"),
     ]
 
 
@@ -77,7 +80,7 @@ def key_defects() -> list[Defect]:
         Defect("income_group", hit(113, 9), "''", "null_sentinel"),
         Defect("year", f"solo AND {hit(59, 8)}", "concat('FY', year)", "type_drift"),
         Defect("year", f"solo AND {hit(67, 9)}", "concat(year, '.0')", "type_drift"),
-        Defect("year", hit(131, 10), "'1899'", "out_of_range"),
+        Defect("year", hit(131, 10), f"'{ODD_YEAR}'", "out_of_range"),
     ]
 
 
@@ -210,9 +213,9 @@ class Inputs:
                 f"{column} AS cleaned_value",
             )
 
-        life = fixes("life_expectancy", fixed.LIFE_DECIMAL, "187.4", hit(157, 15))
+        life = fixes("life_expectancy", fixed.LIFE_DECIMAL, ODD_LIFE, hit(157, 15))
         gdp = fixes("gdp_usd", fixed.GDP_UNIT, "NULL", f"NOT {hit(137, 11)} AND {hit(139, 12)}")
-        rate = fixes("unemployment_rate", RATE_FIXED, "652.0", f"NOT {hit(167, 17)} AND {hit(173, 18)}")
+        rate = fixes("unemployment_rate", RATE_FIXED, ODD_RATE, f"NOT {hit(167, 17)} AND {hit(173, 18)}")
         return life.unionByName(gdp).unionByName(rate)
 
     @cached_property

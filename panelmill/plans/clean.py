@@ -80,10 +80,22 @@ def documented_issues(columns: list[str]) -> list[str]:
 
 
 def documented_audit(raw: DataFrame, fixes: DataFrame | None, record_fixes: DataFrame | None) -> DataFrame:
-    """Audit rows of documented corrections, from the few columns they depend on."""
-    rows, columns = attach_fixes(
-        raw.select(ID, "country_code", "year", *fixed.INDICATORS), fixes, record_fixes
-    )
+    """Audit rows of documented corrections, from the few columns they depend on.
+
+    Only records that a correction names are looked at: ids and (code, year) are few next to the
+    records, and both joins keep the matching records alone.  A correction by id goes before one by code.
+    """
+    rows = raw.select(ID, "country_code", "year", *fixed.INDICATORS)
+    parts = []
+    if fixes is not None:
+        named = fixes.select(F.col("country_code").alias("_code"), F.col("year").alias("_year")).distinct()
+        match = (F.upper(trimmed("country_code")) == F.col("_code")) & (trimmed("year") == F.col("_year"))
+        parts.append(rows.join(named, match, "left_semi"))
+    if record_fixes is not None:
+        parts.append(rows.join(record_fixes.select(ID).distinct(), ID, "left_semi"))
+    # A record named both ways would come twice.
+    few = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1].join(parts[0].select(ID), ID, "left_anti"))
+    rows, columns = attach_fixes(few, fixes, record_fixes)
     return audit_rows(rows, documented_issues(columns))
 
 
