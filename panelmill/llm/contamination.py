@@ -28,25 +28,27 @@ def matches(docs: DataFrame, benchmark: DataFrame, percent: int = 75) -> DataFra
     ``need`` of the sketch.  That is exact whatever the length of the document, where a sketch of the document would drown short
     items.  Documents with enough sketch hits are read again and compared with all shingles, as text.
 
-    Null and empty texts hold nothing and are found nowhere; items with a null id are compared like others.  Rows that repeat
-    a document's id and text count once; rows with equal id and other text are separate documents.
+    Null and empty texts hold nothing and are found nowhere.  Rows that repeat an id and text count once, of documents as of
+    items; rows with equal or null ids and different texts are separate documents and separate items, with a result each.
     """
-    items = benchmark.select("item_id", words_of(text_of()).alias("words"))
-    items = items.select("item_id", F.explode(F.array_distinct(shingles("words", lambda w: F.array_join(w, " ")))).alias("shingle")).distinct()
-    sizes = items.groupBy("item_id").agg(F.count("*").alias("n"))
+    # An item is its id and its text, as one number.
+    given = benchmark.select("item_id", F.xxhash64("item_id", F.lit("id"), text_of()).alias("item"), words_of(text_of()).alias("words")).dropDuplicates(["item"])
+    items = given.select("item", F.explode(F.array_distinct(shingles("words", lambda w: F.array_join(w, " ")))).alias("shingle"))
+    items = stage(items, "items")
+    sizes = items.groupBy("item").agg(F.count("*").alias("n"))
     index = items.withColumn("hash", F.xxhash64(F.split("shingle", " ")))
-    ordered = index.groupBy("item_id").agg(F.array_sort(F.collect_set("hash")).alias("hashes"))
+    ordered = index.groupBy("item").agg(F.array_sort(F.collect_set("hash")).alias("hashes"))
     spare = F.expr(f"CAST(floor(n * {100 - percent} / 100) AS INT)")
     # Size partitions: items whose number of shingles has as many binary digits.
     sketch = ordered.withColumn("n", F.size("hashes")).withColumn("partition", F.floor(F.log2("n")).cast("int"))
     sketch = sketch.withColumn("missing", spare).withColumn("k", F.least(F.col("n"), F.col("missing") + 1 + F.shiftright(F.col("n"), 3)))
-    sketch = sketch.select("item_id", "partition", (F.col("k") - F.col("missing")).alias("need"), F.explode(F.slice("hashes", F.lit(1), F.col("k"))).alias("hash"))
+    sketch = sketch.select("item", "partition", (F.col("k") - F.col("missing")).alias("need"), F.explode(F.slice("hashes", F.lit(1), F.col("k"))).alias("hash"))
     sketch = stage(sketch, "sketch")
 
     keyed = docs.select("doc_id", F.xxhash64(text_of()).alias("text_hash"), words_of(text_of()).alias("words"))
     sketched = keyed.select("doc_id", "text_hash", F.explode(shingles("words", lambda w: F.xxhash64(w))).alias("hash"))
-    hits = sketched.join(small(sketch), "hash").groupBy("doc_id", "text_hash", "item_id", "partition", "need")
-    candidates = hits.agg(F.count_distinct("hash").alias("hits")).where("hits >= need").select("doc_id", "text_hash", "item_id")
+    hits = sketched.join(small(sketch), "hash").groupBy("doc_id", "text_hash", "item", "partition", "need")
+    candidates = hits.agg(F.count_distinct("hash").alias("hits")).where("hits >= need").select("doc_id", "text_hash", "item")
     candidates = stage(candidates, "candidates")
 
     # Exact containment, over the documents with candidates only.
@@ -54,13 +56,12 @@ def matches(docs: DataFrame, benchmark: DataFrame, percent: int = 75) -> DataFra
     some = keyed.join(small(some), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("h")), "left_semi")
     held = some.select("doc_id", "text_hash", F.explode(F.array_distinct(shingles("words", lambda w: F.array_join(w, " ")))).alias("shingle"))
     wanted = small(items)
-    shared = held.join(wanted, "shingle").distinct().groupBy("doc_id", "text_hash", "item_id").agg(F.count("*").alias("n_shared"))
+    shared = held.join(wanted, "shingle").distinct().groupBy("doc_id", "text_hash", "item").agg(F.count("*").alias("n_shared"))
     c, s = candidates.alias("c"), shared.alias("s")
-    same = F.col("c.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("c.text_hash") == F.col("s.text_hash")) & F.col("c.item_id").eqNullSafe(F.col("s.item_id"))
-    both = s.join(c, same, "left_semi").select("doc_id", F.col("text_hash"), "item_id", "n_shared")
-    out = both.alias("b").join(sizes.alias("z"), F.col("b.item_id").eqNullSafe(F.col("z.item_id")))
-    out = out.where(F.col("n_shared") * 100 >= F.col("n") * percent)
-    return out.select("doc_id", "text_hash", "b.item_id", F.col("n").alias("n_shingles"), "n_shared", (F.col("n_shared") / F.col("n")).alias("containment"))
+    same = F.col("c.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("c.text_hash") == F.col("s.text_hash")) & (F.col("c.item") == F.col("s.item"))
+    both = s.join(c, same, "left_semi").select("doc_id", "text_hash", "item", "n_shared")
+    out = both.join(sizes, "item").where(F.col("n_shared") * 100 >= F.col("n") * percent).join(given.select("item", "item_id"), "item")
+    return out.select("doc_id", "text_hash", "item_id", F.col("n").alias("n_shingles"), "n_shared", (F.col("n_shared") / F.col("n")).alias("containment"))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, percent: int = 75) -> DataFrame:

@@ -135,11 +135,12 @@ FROM v LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) c ON c.a = v.ve
 """,
     "op4_decontamination": f"""
 WITH d AS ({SHINGLES.format(id="doc_id", words=WORDS, table="documents")}),
-q AS ({SHINGLES.format(id="item_id", words=WORDS, table="benchmark")}),
+items AS (SELECT row_number() OVER () AS item, item_id, text FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+q AS ({SHINGLES.format(id="item", words=WORDS, table="items")}),
 s AS (SELECT id, count(*) AS n FROM q GROUP BY id)
-SELECT d.id AS doc_id, q.id AS item_id, any_value(s.n) AS n_shingles, count(*) AS n_shared, count(*) / any_value(s.n)::DOUBLE AS containment
-FROM d JOIN q ON d.shingle = q.shingle JOIN s ON s.id = q.id
-GROUP BY d.id, q.id HAVING count(*) * 100 >= 75 * any_value(s.n)
+SELECT d.id AS doc_id, i.item_id, s.n AS n_shingles, count(*) AS n_shared, count(*) / s.n::DOUBLE AS containment
+FROM d JOIN q ON d.shingle = q.shingle JOIN s ON s.id = q.id JOIN items i ON i.item = q.id
+GROUP BY d.id, q.id, i.item_id, s.n HAVING count(*) * 100 >= 75 * s.n
 """,
     "op5_line_dedup": f"""
 WITH l AS (

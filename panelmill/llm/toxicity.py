@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from panelmill.llm.common import Memo, fold
 from panelmill.session import stage
@@ -19,6 +21,8 @@ PREFIXES = (4, 5)
 VOTERS, FEATURES = 192, 2048
 LEAST_GAIN = 24.0
 SAMPLE = 40_000
+# Labelled ids that voters are mined from: a table of some megabytes.
+LABELS = 200_000
 
 
 def signals(word: str) -> tuple[str, ...]:
@@ -182,31 +186,37 @@ def logistic(has: list, target: np.ndarray, width: int, rounds: int = 200, penal
     return w
 
 
-def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Per document: doc_id, held_out, score (0 to 1) and predicted (1 from 0.5).
+def training(docs: DataFrame, labels: DataFrame, most: int = LABELS) -> DataFrame:
+    """(text, toxic) of the labelled training rows.
 
-    Voters are mined from labelled texts of the training rows (crc32 of the id modulo 5 is not 0):
-    lexicon voters look for a word, pattern voters for words that begin alike.  Correlations
-    of their votes over the training rows, labelled or not, join voters that repeat each other into one;
-    expectation maximization over the same rows estimates how often each votes in either class,
-    and the class balance, which starts from the labelled share.  A logistic regression is fitted
-    to the posteriors of a bounded sample (the SAMPLE training rows with the least hashes, half
-    of them among rows with a vote), over the features; it scores every document from its whole text.
-
-    Null or empty texts have no features and get the score of the intercept.  Ids without a label
-    row or with a null label only take part unlabelled; several label rows of one id count as their
-    maximum.  Rows with a null id are training rows.  Repeated rows are scored each.  Without
-    labels of both classes all scores are 0.
+    Of all labelled training ids the ``most`` with the least hashes are taken, so that they are
+    a table of bounded size, which is sent to the texts; no text is moved to meet its label.
     """
-    spark = docs.sparkSession
-    held = F.coalesce(fold(F.col("doc_id"), 5) == 0, F.lit(False))
     known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    train = docs.select("doc_id", "text").where(~held).join(known, "doc_id")
-    size = known.where(~held).agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("t")).first()
+    known = known.where(fold(F.col("doc_id"), 5) != 0).orderBy(F.xxhash64("doc_id", F.lit("label")), "doc_id").limit(most)
+    return docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("text", "toxic")
+
+
+@dataclass(frozen=True)
+class Model:
+    """Features and their weights (the last is the intercept); both empty where nothing could be learned."""
+
+    features: list[str]
+    weights: np.ndarray
+
+    def scores(self, has) -> np.ndarray:
+        x = np.array([self.weights[-1] + self.weights[np.asarray(h, dtype=int)].sum() for h in has])
+        return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
+
+
+def fit(docs: DataFrame, labels: DataFrame) -> tuple[Model, DataFrame | None]:
+    """The model learned from the training rows, and the staged features of all documents."""
+    train = training(docs, labels)
+    size = train.agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("t")).first()
     chosen = choose(mine(train), size["n"], size["t"]) if 0 < size["t"] < size["n"] else []
     features = [name for name, _, _ in chosen]
     if not features:
-        return docs.select("doc_id", held.alias("held_out"), F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
+        return Model([], np.empty(0)), None
     marked = stage(featurize(docs, features), "marked")
     learn, voters = marked.where("NOT held_out"), min(VOTERS, len(features))
 
@@ -232,13 +242,56 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     some = [learn.where(F.size("has") > 0), learn.where(F.size("has") == 0)]
     taken = [r["has"] for part in some for r in part.orderBy(order).limit(SAMPLE // 2).select("has").collect()]
     target = model.posterior(model.grouped(votes_of(taken, voters)))
-    weights = logistic(taken, target, len(features))
+    return Model(features, logistic(taken, target, len(features))), marked
+
+
+def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Per document: doc_id, held_out, score (0 to 1) and predicted (1 from 0.5).
+
+    Voters are mined from labelled texts of the training rows (crc32 of the id modulo 5 is not 0), of at most
+    LABELS ids: lexicon voters look for a word, pattern voters for words that begin alike.  Correlations
+    of their votes over the training rows, labelled or not, join voters that repeat each other into one;
+    expectation maximization over the same rows estimates how often each votes in either class,
+    and the class balance, which starts from the labelled share.  A logistic regression is fitted
+    to the posteriors of a bounded sample (the SAMPLE training rows with the least hashes, half
+    of them among rows with a vote), over the features; it scores every document from its whole text.
+
+    Null or empty texts have no features and get the score of the intercept.  Ids without a label
+    row or with a null label only take part unlabelled; several label rows of one id count as their
+    maximum, labels of an id without a document not at all, and of an id with several documents with
+    each of them.  Rows with a null id are training rows.  Repeated rows are scored each.  Without
+    labels of both classes all scores are 0.
+    """
+    model, marked = fit(docs, labels)
+    if marked is None:
+        held = F.coalesce(fold(F.col("doc_id"), 5) == 0, F.lit(False))
+        return docs.select("doc_id", held.alias("held_out"), F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
 
     def scored(rows):
         for batch in rows:
-            x = np.array([weights[-1] + weights[np.asarray(h, dtype=int)].sum() for h in batch["has"]])
-            s = 1 / (1 + np.exp(-np.clip(x, -40, 40)))
+            s = model.scores(batch["has"])
             yield pd.DataFrame({"doc_id": batch["doc_id"], "held_out": batch["held_out"], "score": s, "predicted": (s >= 0.5).astype(np.int32)})
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return marked.mapInPandas(scored, f"doc_id {kind}, held_out boolean, score double, predicted int")
+
+
+def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows that aren't predicted toxic, each judged by its own text; all columns as they are.
+
+    The model goes to the rows, so that no row is moved, and null or repeated ids make no difference.
+    """
+    model, marked = fit(docs, labels)
+    if marked is None:
+        return docs
+    index = {f: i for i, f in enumerate(model.features)}
+
+    def clean(batches):
+        memo = Memo(lambda word: tuple(index[s] for s in signals(word) if s in index))
+        for batch in batches:
+            has = [sorted(doc_signals(t, memo)) for t in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(1).filter(pa.array(model.scores(has) < 0.5))], ["doc"])
+
+    # The row travels as one value, so that its columns may have any names.
+    rows = docs.select(F.col("text").alias("text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    return rows.mapInArrow(clean, StructType([rows.schema["doc"]])).select("doc.*")
