@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import html as entities
 import re
-from collections import Counter
 
 import pyarrow as pa
 import xxhash
@@ -13,9 +12,10 @@ from pyspark.sql import functions as F
 
 from panelmill.session import stage
 
+# In a tag, quotes bind only behind an equals sign: an apostrophe in a value without quotes is a letter.
 TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<![^>]*(?:>|$)|<\?[^>]*(?:>|$)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(?:>|$)",
+    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]|=\s*(?:\"[^\"]*\"|'[^']*')?)*)(?:>|$)",
     re.S,
 )
 ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
@@ -40,6 +40,9 @@ DROPPED_NAMES = frozenset(
     "subscription share sharing social comment comments disqus respond breadcrumb breadcrumbs related "
     "widget login signup toolbar skip alert pagination pager masthead".split()
 )
+COMMENT_NAMES = frozenset("comment comments disqus respond".split())
+# Elements that hold text rather than other blocks.
+TEXT_LEVEL = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dt dd td th caption figcaption span em strong b i a".split())
 DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar".split())
 # Elements that an opening tag of the key ends, and those beyond which it ends nothing.
 CLOSES = {
@@ -123,19 +126,34 @@ def attributes(element: Element) -> dict[str, str]:
     return {m[1].lower(): entities.unescape(m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(element.attrs)}
 
 
-def furniture(element: Element, inside: bool) -> bool:
-    """Whether name, class, id or role say that the element isn't part of the article."""
+# How sure it is from its name that an element isn't part of the article.
+NOT, PERHAPS, SURELY = range(3)
+
+
+def furniture(element: Element, inside: bool) -> int:
+    """What name, class, id or role say of an element.
+
+    Sure are elements of their kind, hidden ones, roles, a customary name as it is, and comments.  A name
+    that only begins or ends with a customary word, and any name on an element that holds text and not
+    other blocks, is a hint: ``related-work`` may be a chapter, and ``notice`` a paragraph.
+    """
     if element.name in DROPPED:
-        return True
+        return SURELY
     if not element.attrs.strip() or element.name in ("html", "body", "main"):
-        return False
+        return NOT
     attrs = attributes(element)
     if "hidden" in attrs or attrs.get("aria-hidden", "").lower() == "true" or attrs.get("role", "").lower() in DROPPED_ROLES:
-        return True
+        return SURELY
     if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attrs.get("style", "")):
-        return True
-    parts = set(NAME_PART.findall(f"{attrs.get('class', '')} {attrs.get('id', '')}".lower()))
-    return bool(parts & DROPPED_NAMES) or not inside and "header" in parts
+        return SURELY
+    names = f"{attrs.get('class', '')} {attrs.get('id', '')}".lower()
+    parts = set(NAME_PART.findall(names))
+    known = parts & DROPPED_NAMES or not inside and parts & {"header"}
+    if not known:
+        return NOT
+    if element.name in TEXT_LEVEL:
+        return PERHAPS
+    return SURELY if known & COMMENT_NAMES or known & set(names.split()) else PERHAPS
 
 
 def content_roots(root: Element) -> list[Element]:
@@ -145,7 +163,7 @@ def content_roots(root: Element) -> list[Element]:
         queue = [root]
         while queue:
             element = queue.pop()
-            inner = [c for c in element.children if isinstance(c, Element) and not furniture(c, False)]
+            inner = [c for c in element.children if isinstance(c, Element) and furniture(c, False) != SURELY]
             if wanted(element):
                 found.append(element)
             else:
@@ -159,102 +177,123 @@ def squeeze(parts: list[str]) -> str:
     return " ".join("".join(parts).split())
 
 
-def text_hash(element: Element, text: str) -> int:
-    """Signed 64-bit hash of a subtree: its element's name and its text."""
-    return xxhash.xxh3_64_intdigest(f"{element.name}\x00{text}".encode("utf-8", "replace")) - (1 << 63)
+def signed_hash(text: str) -> int:
+    return xxhash.xxh3_64_intdigest(text.encode("utf-8", "replace")) - (1 << 63)
 
 
-def place_hash(path: str, text: str) -> int:
-    """Signed 64-bit hash of a subtree's text and of the block elements around it."""
-    return xxhash.xxh3_64_intdigest(f"{path}\x00{text}".encode("utf-8", "replace")) - (1 << 63)
+class Block:
+    """A block subtree: what it holds in order, and the words on the way, also those in links."""
 
+    __slots__ = ("name", "up", "path", "holds", "words", "linked", "hint", "hash", "place", "gone")
 
-class Blocks:
-    """Hashes of block subtrees, without and with their place; the longest innermost one stands for the article."""
+    def __init__(self, name: str, up: int, path: str, hint: bool):
+        self.name, self.up, self.path, self.hint = name, up, path, hint
+        self.holds: list[str] = []
+        self.words = self.linked = 0
+        self.hash = self.place = 0
+        self.gone = False
 
-    def __init__(self):
-        self.hashes: set[int] = set()
-        self.places: set[int] = set()
-        self.longest = (0, 0)
+    def running(self) -> bool:
+        """Whether it holds prose: some words, most of them outside links."""
+        return self.words >= RUNNING and 2 * self.linked < self.words
 
 
-def whole_text(element: Element, found: Blocks | None = None, path: str = "") -> list[str]:
-    """Text of a subtree; the hashes of each block subtree with text on the way are added."""
-    parts: list[str] = []
-    before = len(found.places) if found else 0
-    for child in element.children:
-        if isinstance(child, str):
-            parts.append(child)
-        elif child.name not in DROPPED and child.name != "br":
-            parts.append(" ")
-            parts += whole_text(child, found, f"{path}/{child.name}" if child.name in BLOCK else path)
-            parts.append(" ")
-        elif child.name == "br":
-            parts.append(" ")
-    if found and element.name in BLOCK and (text := squeeze(parts)):
-        if len(found.places) == before:
-            found.longest = max(found.longest, (len(text), text_hash(element, text)))
-        found.hashes.add(text_hash(element, text))
-        found.places.add(place_hash(path, text))
-    return parts
-
-
-def blocks_of(source: str | None) -> Blocks:
-    """The block subtrees below the content roots of a page."""
-    found = Blocks()
-    if source:
-        for root in content_roots(parse(source)):
-            for child in root.children:
-                if isinstance(child, Element) and not furniture(child, True):
-                    whole_text(child, found, f"/{child.name}" if child.name in BLOCK else "")
-    return found
+RUNNING = 8
 
 
-def main_text(source: str | None, repeated: set[int], placed: set[int] = frozenset()) -> str:
-    """Text blocks of the article in page order, joined by an empty line; without those repeated, or placed where they are."""
-    if not source:
-        return ""
-    blocks: list[str] = []
-    line: list[str] = []
-
-    def flush() -> None:
-        if text := squeeze(line):
-            blocks.append(text)
-        line.clear()
-
-    def goes(child: Element, path: str) -> bool:
-        if not repeated and not placed:
-            return False
-        text = squeeze(whole_text(child))
-        return text_hash(child, text) in repeated or place_hash(path, text) in placed
-
-    def visit(element: Element, header: bool, path: str) -> None:
-        for child in element.children:
+class Page:
+    """The texts below the content roots of a page in order, and the block subtrees around them.
+
+    One walk with a stack of its own, so that pages may be nested as deep as they like.  The hash of a
+    subtree is made of its element's name and of what it holds, texts and hashes of inner blocks, and its
+    place of the path of block elements as well; each is made once, from those of its children.
+    """
+
+    def __init__(self, source: str | None):
+        self.blocks: list[Block] = []
+        self.texts: list[tuple[int, str]] = []
+        self.longest = (0, 0)
+        for root in content_roots(parse(source)) if source else ():
+            self.walk(root)
+
+    def open(self, name: str, up: int, hint: bool) -> int:
+        path = str(signed_hash(f"{self.blocks[up].path}/{name}")) if up >= 0 else ""
+        self.blocks.append(Block(name, up, path, hint))
+        return len(self.blocks) - 1
+
+    def close(self, at: int) -> None:
+        block = self.blocks[at]
+        if block.hint and not block.running():
+            block.gone = True
+        elif block.holds:
+            content = "\x01".join(block.holds)
+            block.hash = signed_hash(f"{block.name}\x00{content}")
+            block.place = signed_hash(f"{block.path}\x00{content}")
+            if block.up >= 0:
+                outer = self.blocks[block.up]
+                outer.holds.append(f"\x02{block.hash}")
+                outer.words += block.words
+                outer.linked += block.linked
+
+    def walk(self, root: Element) -> None:
+        line: list[str] = []
+
+        def flush(at: int) -> None:
+            if text := squeeze(line):
+                self.texts.append((at, text))
+                self.blocks[at].holds.append(text)
+                self.longest = max(self.longest, (len(text), signed_hash(text)))
+            line.clear()
+
+        # What is open: element, next child, block around it, whether the element is that block, links, header.
+        first = self.open(root.name, -1, False)
+        stack = [[root, 0, first, True, 0, False]]
+        while stack:
+            frame = stack[-1]
+            element, at, block, own, links, header = frame
+            if at == len(element.children):
+                stack.pop()
+                if own:
+                    flush(block)
+                    self.close(block)
+                continue
+            frame[1] += 1
+            child = element.children[at]
             if isinstance(child, str):
                 if not header:
                     line.append(child)
+                    found = len(child.split())
+                    self.blocks[block].words += found
+                    self.blocks[block].linked += found if links else 0
                 continue
             if child.name in ("br", "img", "wbr"):
                 line.append(" " if child.name == "br" else "")
                 continue
-            if furniture(child, True):
+            sure = furniture(child, True)
+            if sure == SURELY:
                 if child.name in BLOCK:
-                    flush()
+                    flush(block)
                 continue
-            if child.name not in BLOCK:
-                visit(child, header, path)
+            if child.name not in BLOCK and sure == NOT:
+                stack.append([child, 0, block, False, links + (child.name == "a"), header])
                 continue
-            flush()
-            if not goes(child, inner := f"{path}/{child.name}"):
-                # Of a header inside the article, only the headings belong to it.
-                visit(child, child.name == "header" or header and child.name not in HEADINGS, inner)
-            flush()
+            # A block, or an inline element whose name is a hint and that therefore stands for itself.
+            flush(block)
+            inner = self.open(child.name, block, sure == PERHAPS)
+            # Of a header inside the article, only the headings belong to it.
+            stack.append([child, 0, inner, True, links, child.name == "header" or header and child.name not in HEADINGS])
 
-    tree = parse(source)
-    for root in content_roots(tree):
-        visit(root, False, "")
-        flush()
-    return "\n\n".join(blocks)
+    def kept(self, goes) -> list[str]:
+        """The texts without those in a block that is gone or for which ``goes`` holds."""
+        out: list[bool] = []
+        for block in self.blocks:
+            out.append(block.gone or block.up >= 0 and out[block.up] or bool(block.hash) and goes(block.hash, block.place, block.hint))
+        return [text for at, text in self.texts if not out[at]]
+
+
+def main_text(source: str | None, repeated: set[int], placed: set[int] = frozenset()) -> str:
+    """Text blocks of the article in page order, joined by an empty line; without those repeated, or placed where they are."""
+    return "\n\n".join(Page(source).kept(lambda h, place, hint: h in repeated or place in placed))
 
 
 def host_of(url):
@@ -272,12 +311,42 @@ def language_of(html):
     return F.lower(F.coalesce(F.regexp_extract(html, r"(?i)<html\b[^>]*?\slang\s*=\s*[\"']?([A-Za-z]+)", 1), F.lit("")))
 
 
-def partly_repeated(source: DataFrame, fewest: int = 3, fewest_of_part: int = 10) -> DataFrame:
-    """(host, part, hash): blocks that recur at their place in a host or a part of it, its sections and languages.
+NODES = "array<struct<hash: bigint, place: bigint, up: int, hint: boolean, gone: boolean>>"
+TEXTS = "array<struct<node: int, text: string>>"
+
+
+def parsed(source: DataFrame) -> DataFrame:
+    """The pages with ``article`` (by its longest text), ``nodes`` and ``texts`` instead of their html; parsed once."""
 
-    A block's place is the path of block elements around it.  Its votes are distinct articles, told apart by their
-    longest innermost block, so that copies of an article have one vote.  A block needs ``fewest`` votes in a host or
-    ``fewest_of_part`` in a part, and those of half of the articles; of less than ten articles, of all but a fifth.
+    def batches(rows):
+        for batch in rows:
+            pages = [Page(x) for x in batch.column("html").to_pylist()]
+            nodes = [[{"hash": b.hash, "place": b.place, "up": b.up, "hint": b.hint, "gone": b.gone} for b in p.blocks] for p in pages]
+            texts = [[{"node": at, "text": text.encode("utf-8", "replace").decode()} for at, text in p.texts] for p in pages]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in KEPT), pa.array([p.longest[1] for p in pages], pa.int64()), pa.array(nodes, NODE_LIST), pa.array(texts, TEXT_LIST)],
+                [*KEPT, "article", "nodes", "texts"],
+            )
+
+    kinds = ", ".join(f"{c} {source.schema[c].dataType.simpleString()}" for c in KEPT)
+    return stage(source.mapInArrow(batches, f"{kinds}, article long, nodes {NODES}, texts {TEXTS}"), "parsed")
+
+
+KEPT = ["page_id", "url", "host", "section", "language"]
+NODE_LIST = pa.list_(pa.struct([("hash", pa.int64()), ("place", pa.int64()), ("up", pa.int32()), ("hint", pa.bool_()), ("gone", pa.bool_())]))
+TEXT_LIST = pa.list_(pa.struct([("node", pa.int32()), ("text", pa.string())]))
+# Parts in which subtrees are counted: a host by what they are, by what and where they are, and those with a hint.
+ANYWHERE, PLACED, HINTED = "anywhere", "", "hinted"
+
+
+def templates(pages: DataFrame, share: float, least: int, fewest: int = 3, fewest_of_part: int = 10, fewest_hinted: int = 2) -> DataFrame:
+    """(host, part, hash): subtrees that recur in a host or a part of it, its sections and languages.
+
+    Votes are distinct articles, told apart by their longest text, so that copies of an article have one vote and
+    never make a template of it.  A subtree is a template of a host if ``least`` articles have it and ``share`` of them;
+    at one place, the path of block elements around it, also if ``fewest`` of a host or ``fewest_of_part`` of a part have it and
+    half of the articles, of less than ten all but a fifth.  One whose name hints at furniture needs ``fewest_hinted``
+    articles only.  Tasks count before they shuffle, so that a hot host sends one row per task, hash and article.
     """
 
     def batches(rows):
@@ -289,79 +358,72 @@ def partly_repeated(source: DataFrame, fewest: int = 3, fewest_of_part: int = 10
             return pa.RecordBatch.from_arrays(out, ["host", "part", "hash", "article"])
 
         for batch in rows:
-            for host, page, section, language in zip(*[batch.column(k).to_pylist() for k in range(4)], strict=True):
-                found = blocks_of(page)
-                if found.places:
-                    parts = ["", *([f"section {section}"] if section else ()), *([f"language {language}"] if language else ())]
-                    votes.update((host, part, h, found.longest[1]) for part in parts for h in (None, *found.places))
+            for host, section, language, article, nodes in zip(*[batch.column(k).to_pylist() for k in range(5)], strict=True):
+                found = [n for n in nodes if n["hash"]]
+                if not found:
+                    continue
+                parts = [PLACED, *([f"section {section}"] if section else ()), *([f"language {language}"] if language else ())]
+                votes.update((host, part, h, article) for part in parts for h in (None, *{n["place"] for n in found}))
+                votes.update((host, ANYWHERE, h, article) for h in (None, *{n["hash"] for n in found}))
+                votes.update((host, HINTED, n["hash"], article) for n in found if n["hint"])
             if len(votes) > 200_000:
                 yield flush()
         yield flush()
 
-    pages = source.where("host IS NOT NULL").select("host", "html", "section", "language")
-    votes = pages.mapInArrow(batches, "host string, part string, hash long, article long").distinct()
-    counts = stage(votes.groupBy("host", "part", "hash").agg(F.count("*").alias("n")).where(F.col("n") >= F.when(F.col("part") == "", fewest).otherwise(fewest_of_part)), "votes")
+    rows = pages.where("host IS NOT NULL").select("host", "section", "language", "article", "nodes")
+    votes = rows.mapInArrow(batches, "host string, part string, hash long, article long").distinct()
+    needed = F.when(F.col("part") == PLACED, fewest).when(F.col("part") == HINTED, fewest_hinted).when(F.col("part") == ANYWHERE, least).otherwise(fewest_of_part)
+    counts = votes.groupBy("host", "part", "hash").agg(F.count("*").alias("n")).where((F.col("n") >= needed) | F.col("hash").isNull())
+    counts = stage(counts, "votes")
     sizes = counts.where("hash IS NULL").select("host", "part", F.col("n").alias("articles"))
+    found = counts.where("hash IS NOT NULL").join(sizes, ["host", "part"], "left")
     lacking = F.when(F.col("articles") >= 10, F.col("articles") / 2).otherwise(F.floor(F.col("articles") / 5))
-    return counts.where("hash IS NOT NULL").join(sizes, ["host", "part"]).where(F.col("articles") - F.col("n") <= lacking).select("host", "part", "hash")
+    anywhere = (F.col("part") == ANYWHERE) & (F.col("n") >= share * F.col("articles"))
+    placed = (F.col("part") != ANYWHERE) & (F.col("articles") - F.col("n") <= lacking)
+    return found.where((F.col("part") == HINTED) | anywhere | placed).select("host", "part", "hash")
 
 
 def extract(pages: DataFrame, share: float = 0.5, least: int = 10) -> DataFrame:
     """Per page: page_id, url, text and n_chars of its article.
 
     A page's content is its article elements, or main, or the whole body, without elements that
-    their name, class, id or role marks as menu, header, footer, sidebar, notice, advert, form,
-    comment, script or style.  Site templates go as well: subtrees of the content are hashed (element name and
-    text) and counted once per page of a host, in two steps, so that a hot host sends one row per
-    task and hash; subtrees on at least ``least`` pages and ``share`` of the pages of their host are
-    deleted.  A host has at most 1 / share times as many of them as an average page of it has subtrees, so that they travel as one
-    row per host.  So do, from hosts with few pages and from sections and languages of a host, the blocks that
-    ``partly_repeated`` finds; those of a section travel with the section.
-
-    Null or empty html gives an empty text.  Pages with a null url lose no repeated subtrees.
-    Repeated rows count as pages of their own.  Character references are decoded, white space inside a
+    are surely menu, header, footer, sidebar, notice, advert, form, comment, script or style by their
+    kind, class, id or role.  Where a name is only a hint, an element with a few words or of links goes, one with prose
+    stays unless it recurs.  Site templates go as well: subtrees of the content are hashed, counted
+    once per distinct article of a host, and deleted where they recur (see ``templates``).
+    A host has a bounded number of templates for each article's subtrees, so that they travel as one row per host, those
+    of a section with the section.
+
+    A page is parsed once.  Null or empty html gives an empty text.  Pages with a null url lose no repeated
+    subtrees.  Repeated rows are one article.  Character references are decoded, white space inside a
     block becomes one space, blocks are joined by an empty line.
     """
-    source = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"), section_of(F.col("url")).alias("section"), language_of(F.col("html")).alias("language"))
-
-    def hashed(rows):
-        counts: Counter = Counter()
-
-        def flush():
-            keys = list(counts)
-            out = [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int64()), pa.array([counts[k] for k in keys], pa.int64())]
-            counts.clear()
-            return pa.RecordBatch.from_arrays(out, ["host", "hash", "n"])
-
-        for batch in rows:
-            for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                counts.update((host, h) for h in blocks_of(page).hashes)
-            if len(counts) > 200_000:
-                yield flush()
-        yield flush()
-
-    seen = source.where("host IS NOT NULL").select("host", "html").mapInArrow(hashed, "host string, hash long, n long")
-    sizes = source.where("host IS NOT NULL").groupBy("host").agg(F.count("*").alias("pages"))
-    often = seen.groupBy("host", "hash").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    repeated = often.join(sizes, "host").where(F.col("n") >= share * F.col("pages"))
-    parts = stage(partly_repeated(source), "parts")
-    wide = parts.where("part NOT LIKE 'section %'").groupBy("host").agg(F.collect_list(F.struct("part", "hash")).alias("placed"))
-    repeated = stage(repeated.groupBy("host").agg(F.collect_list("hash").alias("repeated")).join(wide, "host", "full"), "templates")
-    sections = parts.where("part LIKE 'section %'").groupBy("host", F.expr("substring(part, 9)").alias("section")).agg(F.collect_list("hash").alias("in_section"))
+    columns = [host_of(F.col("url")).alias("host"), section_of(F.col("url")).alias("section"), language_of(F.col("html")).alias("language")]
+    source = parsed(pages.select("page_id", "url", "html", *columns))
+    found = stage(templates(source, share, least), "templates")
+    wide = found.where("part NOT LIKE 'section %'").groupBy("host").agg(F.collect_list(F.struct("part", "hash")).alias("repeated"))
+    sections = found.where("part LIKE 'section %'").groupBy("host", F.expr("substring(part, 9)").alias("section")).agg(F.collect_list("hash").alias("in_section"))
 
     def texts(rows):
         for batch in rows:
             out = []
-            for page, seen, language, placed, section in zip(*[batch.column(k).to_pylist() for k in range(2, 7)], strict=True):
-                here = {p["hash"] for p in placed or () if p["part"] in ("", f"language {language}")}
-                out.append(main_text(page, set(seen or ()), here | set(section or ())))
-            out = [t.encode("utf-8", "replace").decode() for t in out]
+            for nodes, parts, language, repeated, section in zip(*[batch.column(k).to_pylist() for k in range(2, 7)], strict=True):
+                by_part: dict[str, set[int]] = {}
+                for r in repeated or ():
+                    by_part.setdefault(r["part"], set()).add(r["hash"])
+                anywhere, hinted = (by_part.get(p, set()) for p in (ANYWHERE, HINTED))
+                placed = by_part.get(PLACED, set()) | by_part.get(f"language {language}", set()) | set(section or ())
+                gone: list[bool] = []
+                for n in nodes:
+                    own = n["gone"] or n["hash"] in anywhere or n["place"] in placed or n["hint"] and n["hash"] in hinted
+                    gone.append(own or n["up"] >= 0 and gone[n["up"]])
+                out.append("\n\n".join(x["text"] for x in parts if not gone[x["node"]]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(out, pa.string()), pa.array([len(t) for t in out], pa.int64())],
                 ["page_id", "url", "text", "n_chars"],
             )
 
     kind = pages.schema["page_id"].dataType.simpleString()
-    joined = source.join(repeated, "host", "left").join(sections, ["host", "section"], "left")
-    joined = joined.select("page_id", "url", "html", "repeated", "language", "placed", "in_section")
+    joined = source.join(wide, "host", "left").join(sections, ["host", "section"], "left")
+    joined = joined.select("page_id", "url", "nodes", "texts", "language", "repeated", "in_section")
     return joined.mapInArrow(texts, f"page_id {kind}, url string, text string, n_chars long")
