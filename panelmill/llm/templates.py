@@ -10,6 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelmill.llm.common import BROADCAST_ROWS
 from panelmill.session import stage
 
 # In a tag, quotes bind only behind an equals sign: an apostrophe in a value without quotes is a letter.
@@ -311,30 +312,6 @@ def language_of(html):
     return F.lower(F.coalesce(F.regexp_extract(html, r"(?i)<html\b[^>]*?\slang\s*=\s*[\"']?([A-Za-z]+)", 1), F.lit("")))
 
 
-NODES = "array<struct<hash: bigint, place: bigint, up: int, hint: boolean, gone: boolean>>"
-TEXTS = "array<struct<node: int, text: string>>"
-
-
-def parsed(source: DataFrame) -> DataFrame:
-    """The pages with ``article`` (by its longest text), ``nodes`` and ``texts`` instead of their html; parsed once."""
-
-    def batches(rows):
-        for batch in rows:
-            pages = [Page(x) for x in batch.column("html").to_pylist()]
-            nodes = [[{"hash": b.hash, "place": b.place, "up": b.up, "hint": b.hint, "gone": b.gone} for b in p.blocks] for p in pages]
-            texts = [[{"node": at, "text": text.encode("utf-8", "replace").decode()} for at, text in p.texts] for p in pages]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in KEPT), pa.array([p.longest[1] for p in pages], pa.int64()), pa.array(nodes, NODE_LIST), pa.array(texts, TEXT_LIST)],
-                [*KEPT, "article", "nodes", "texts"],
-            )
-
-    kinds = ", ".join(f"{c} {source.schema[c].dataType.simpleString()}" for c in KEPT)
-    return stage(source.mapInArrow(batches, f"{kinds}, article long, nodes {NODES}, texts {TEXTS}"), "parsed")
-
-
-KEPT = ["page_id", "url", "host", "section", "language"]
-NODE_LIST = pa.list_(pa.struct([("hash", pa.int64()), ("place", pa.int64()), ("up", pa.int32()), ("hint", pa.bool_()), ("gone", pa.bool_())]))
-TEXT_LIST = pa.list_(pa.struct([("node", pa.int32()), ("text", pa.string())]))
 # Parts in which subtrees are counted: a host by what they are, by what and where they are, and those with a hint.
 ANYWHERE, PLACED, HINTED = "anywhere", "", "hinted"
 
@@ -358,19 +335,20 @@ def templates(pages: DataFrame, share: float, least: int, fewest: int = 3, fewes
             return pa.RecordBatch.from_arrays(out, ["host", "part", "hash", "article"])
 
         for batch in rows:
-            for host, section, language, article, nodes in zip(*[batch.column(k).to_pylist() for k in range(5)], strict=True):
-                found = [n for n in nodes if n["hash"]]
+            for host, section, language, html in zip(*[batch.column(k).to_pylist() for k in range(4)], strict=True):
+                page = Page(html)
+                found, article = [b for b in page.blocks if b.hash], page.longest[1]
                 if not found:
                     continue
                 parts = [PLACED, *([f"section {section}"] if section else ()), *([f"language {language}"] if language else ())]
-                votes.update((host, part, h, article) for part in parts for h in (None, *{n["place"] for n in found}))
-                votes.update((host, ANYWHERE, h, article) for h in (None, *{n["hash"] for n in found}))
-                votes.update((host, HINTED, n["hash"], article) for n in found if n["hint"])
+                votes.update((host, part, h, article) for part in parts for h in (None, *{b.place for b in found}))
+                votes.update((host, ANYWHERE, h, article) for h in (None, *{b.hash for b in found}))
+                votes.update((host, HINTED, b.hash, article) for b in found if b.hint)
             if len(votes) > 200_000:
                 yield flush()
         yield flush()
 
-    rows = pages.where("host IS NOT NULL").select("host", "section", "language", "article", "nodes")
+    rows = pages.where("host IS NOT NULL").select("host", "section", "language", "html")
     votes = rows.mapInArrow(batches, "host string, part string, hash long, article long").distinct()
     needed = F.when(F.col("part") == PLACED, fewest).when(F.col("part") == HINTED, fewest_hinted).when(F.col("part") == ANYWHERE, least).otherwise(fewest_of_part)
     counts = votes.groupBy("host", "part", "hash").agg(F.count("*").alias("n")).where((F.col("n") >= needed) | F.col("hash").isNull())
@@ -394,36 +372,38 @@ def extract(pages: DataFrame, share: float = 0.5, least: int = 10) -> DataFrame:
     A host has a bounded number of templates for each article's subtrees, so that they travel as one row per host, those
     of a section with the section.
 
-    A page is parsed once.  Null or empty html gives an empty text.  Pages with a null url lose no repeated
+    A page is parsed for its votes and again for its text: a table of all texts and hashes, kept in between, would take more
+    disk than the pages do.  Templates are sent to the pages as long as they are few; beyond that pages
+    and templates meet by host.  Null or empty html gives an empty text.  Pages with a null url lose no repeated
     subtrees.  Repeated rows are one article.  Character references are decoded, white space inside a
     block becomes one space, blocks are joined by an empty line.
     """
     columns = [host_of(F.col("url")).alias("host"), section_of(F.col("url")).alias("section"), language_of(F.col("html")).alias("language")]
-    source = parsed(pages.select("page_id", "url", "html", *columns))
+    source = pages.select("page_id", "url", "html", *columns)
     found = stage(templates(source, share, least), "templates")
+    few = found.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     wide = found.where("part NOT LIKE 'section %'").groupBy("host").agg(F.collect_list(F.struct("part", "hash")).alias("repeated"))
     sections = found.where("part LIKE 'section %'").groupBy("host", F.expr("substring(part, 9)").alias("section")).agg(F.collect_list("hash").alias("in_section"))
 
     def texts(rows):
         for batch in rows:
             out = []
-            for nodes, parts, language, repeated, section in zip(*[batch.column(k).to_pylist() for k in range(2, 7)], strict=True):
+            for html, language, repeated, section in zip(*[batch.column(k).to_pylist() for k in range(2, 6)], strict=True):
                 by_part: dict[str, set[int]] = {}
                 for r in repeated or ():
                     by_part.setdefault(r["part"], set()).add(r["hash"])
                 anywhere, hinted = (by_part.get(p, set()) for p in (ANYWHERE, HINTED))
                 placed = by_part.get(PLACED, set()) | by_part.get(f"language {language}", set()) | set(section or ())
-                gone: list[bool] = []
-                for n in nodes:
-                    own = n["gone"] or n["hash"] in anywhere or n["place"] in placed or n["hint"] and n["hash"] in hinted
-                    gone.append(own or n["up"] >= 0 and gone[n["up"]])
-                out.append("\n\n".join(x["text"] for x in parts if not gone[x["node"]]))
+                left = Page(html).kept(lambda h, place, hint: h in anywhere or place in placed or hint and h in hinted)
+                out.append("\n\n".join(left).encode("utf-8", "replace").decode())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(out, pa.string()), pa.array([len(t) for t in out], pa.int64())],
                 ["page_id", "url", "text", "n_chars"],
             )
 
     kind = pages.schema["page_id"].dataType.simpleString()
+    if few:  # as many rows at most as there are templates
+        wide, sections = F.broadcast(wide), F.broadcast(sections)
     joined = source.join(wide, "host", "left").join(sections, ["host", "section"], "left")
-    joined = joined.select("page_id", "url", "nodes", "texts", "language", "repeated", "in_section")
+    joined = joined.select("page_id", "url", "html", "language", "repeated", "in_section")
     return joined.mapInArrow(texts, f"page_id {kind}, url string, text string, n_chars long")
