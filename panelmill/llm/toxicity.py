@@ -289,9 +289,10 @@ def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
     def clean(batches):
         memo = Memo(lambda word: tuple(index[s] for s in signals(word) if s in index))
         for batch in batches:
-            has = [sorted(doc_signals(t, memo)) for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(1).filter(pa.array(model.scores(has) < 0.5))], ["doc"])
+            has = [sorted(doc_signals(t, memo)) for t in batch.column(0).field(at).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(model.scores(has) < 0.5))], ["doc"])
 
     # The row travels as one value, so that its columns may have any names.
-    rows = docs.select(F.col("text").alias("text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    at = [c.lower() for c in docs.columns].index("text")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
     return rows.mapInArrow(clean, StructType([rows.schema["doc"]])).select("doc.*")
