@@ -46,7 +46,7 @@ class Encoder:
         self.letters.normalizer = normalizers.Sequence([])
         by_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.letters.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), by_bytes])
-        self.memo = Memo(self.alone, 1_500_000)
+        self.memo = Memo(self.alone, 600_000)
         (self.mark,) = np.frombuffer(self.alone(MARK.encode()), dtype="<u4")
         suffix = self.tokenizer.model.end_of_word_suffix
         vocabulary = self.tokenizer.get_vocab()
