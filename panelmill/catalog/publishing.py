@@ -26,7 +26,8 @@ from panelmill.catalog.inputs import (
 )
 from panelmill.catalog.profiling import t
 from panelmill.functions import text
-from panelmill.operators import coverage, inject, keyed, retention
+from panelmill.operators import coverage, inject, keyed, retention, validate
+from panelmill.operators.skew import shuffled
 from panelmill.plans import gates, load, refresh, runlog, views
 from panelmill.session import scratch_dir, stage
 from panelmill.sources import landing, payload, reports
@@ -743,11 +744,10 @@ def r4_load_clean(i: Inputs):
 def met_fixes(i: Inputs) -> DataFrame:
     """The documented corrections whose record still has the code, the year and the value they name."""
     records = i.panel_raw.select(
-        F.upper(text.trimmed("country_code")).alias("country_code"), text.trimmed("year").alias("year"), *fixed.INDICATORS
+        F.upper(text.trimmed("country_code")).alias("code"), text.trimmed("year").alias("yr"), validate.cells(fixed.INDICATORS, "string").alias("texts")
     )
-    cells = records.unpivot(["country_code", "year"], fixed.INDICATORS, "column_name", "value")
-    cells = cells.select("country_code", "year", "column_name", text.trimmed("value").alias("original_value"))
-    return i.documented_fixes.join(cells, cells.columns, "left_semi")
+    met = F.expr("country_code = code AND year = yr") & (text.trimmed(validate.cell("texts", fixed.INDICATORS)) == F.col("original_value"))
+    return i.documented_fixes.join(shuffled(records), met, "left_semi")
 
 
 def maintained(i: Inputs) -> VersionedSet:

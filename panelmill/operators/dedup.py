@@ -8,7 +8,7 @@ from pyspark.sql import Window
 
 from panelmill import fixed
 from panelmill.functions.text import blank_to_null, trimmed
-from panelmill.operators.skew import join_groups
+from panelmill.operators.skew import join_groups, shuffled
 
 
 def first_per_key(df: DataFrame, keys: list[Column], order: list[Column]) -> DataFrame:
@@ -27,7 +27,7 @@ def not_first_per_key(df: DataFrame, id_column: str, keys: list[Column], order:
     The best rows are found as in :func:`first_per_key`; the rest is an anti join on the unique
     record id, which spreads evenly however large a key is.
     """
-    return df.join(first_per_key(df, keys, order).select(id_column), id_column, "left_anti")
+    return df.join(shuffled(first_per_key(df, keys, order).select(id_column)), id_column, "left_anti")
 
 
 def panel_keys() -> list[Column]:

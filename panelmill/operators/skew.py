@@ -1,4 +1,4 @@
-"""Joining rows with per-group results when one group may hold much of the table."""
+"""Joins whose shape is not left to the optimizer: with hot groups, and with frames as large as the table."""
 
 from __future__ import annotations
 
@@ -13,6 +13,15 @@ def same(pairs: list[tuple[Column, Column]]) -> Column:
     return reduce(lambda a, b: a & b, [x.eqNullSafe(y) for x, y in pairs])
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """A side of a join that is met by a shuffle, never broadcast.
+
+    For frames with about a row per record.  Spark takes a frame for as large as its compressed files, scaled
+    by the number and types of its columns; as rows on the driver it may be tens of times larger.
+    """
+    return df.hint("merge")
+
+
 def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
     """Inner join of rows with the one row of ``groups`` for their (NULL-safe) keys.
 

@@ -17,7 +17,8 @@ from panelmill.functions.text import any_of, beyond_sql, decimal_sql, number_tex
 from panelmill.operators.coverage import coverage
 from panelmill.operators.dedup import dup_keys
 from panelmill.operators.keyed import upsert
-from panelmill.operators.validate import by_name, reconcile, verify_fixes
+from panelmill.operators.skew import shuffled
+from panelmill.operators.validate import cell, cells, reconcile, verify_fixes
 from panelmill.plans.clean import annotate, audit_log, clean_panel
 from panelmill.plans.gates import GateFailure
 from panelmill.plans.runlog import RunLog
@@ -164,9 +165,9 @@ def targets(fixes: DataFrame, clean: DataFrame, raw: DataFrame, bounds: dict[str
     ``sound`` asks that the raw record has the code, the period and the raw value of the fix, and that the
     clean cell holds either the number of that raw value or already the correction.
     """
-    typed = clean.select("raw_record_id", *KEYS, by_name(fixed.INDICATORS, "decimal(38,4)").alias("typed"))
+    typed = clean.select("raw_record_id", *KEYS, cells(fixed.INDICATORS, "decimal(38,4)").alias("typed"))
     texts = raw.select(
-        "raw_record_id", F.upper(trimmed("country_code")).alias("raw_code"), trimmed("year").alias("raw_year"), by_name(fixed.INDICATORS, "string").alias("texts")
+        "raw_record_id", F.upper(trimmed("country_code")).alias("raw_code"), trimmed("year").alias("raw_year"), cells(fixed.INDICATORS, "string").alias("texts")
     )
     rules = fixes.withColumns(
         {
@@ -178,15 +179,15 @@ def targets(fixes: DataFrame, clean: DataFrame, raw: DataFrame, bounds: dict[str
     # What cleaning makes of the raw value: NULL where it is out of bounds or no number.
     beyond = " ".join(f"WHEN column_name = '{c}' THEN {beyond_sql('old_text', 'old_number', lo, hi)}" for c, (lo, hi) in bounds.items())
     old = F.expr(f"CASE WHEN NOT (CASE {beyond} END) THEN old_number END").cast("decimal(38,4)")
-    met = rules.join(typed, KEYS, "left").join(texts, "raw_record_id", "left")
-    cell = F.col("typed")[F.col("column_name")]
+    met = rules.join(shuffled(typed), KEYS, "left").join(shuffled(texts), "raw_record_id", "left")
+    now = cell("typed", fixed.INDICATORS)
     sound = (
         F.col("raw_record_id").isNotNull()
         & F.col("wanted").isNotNull()
         & (F.col("raw_code") == F.col("country_code"))
         & (F.col("raw_year") == F.col("year").cast("string"))
-        & (trimmed(F.col("texts")[F.col("column_name")]) == F.col("original_value"))
-        & (cell.eqNullSafe(F.col("wanted")) | cell.eqNullSafe(old))
+        & (trimmed(cell("texts", fixed.INDICATORS)) == F.col("original_value"))
+        & (now.eqNullSafe(F.col("wanted")) | now.eqNullSafe(old))
     )
     return met.select("raw_record_id", *KEYS, "column_name", "issue_type", "original_value", "cleaned_value", "wanted", F.coalesce(sound, F.lit(False)).alias("sound"))
 
@@ -209,7 +210,7 @@ def relogged(audit: DataFrame, found: DataFrame) -> DataFrame:
         F.lit(fixed.CORRECTED).alias("action_taken"), F.current_timestamp().alias("logged_at"),
     )
     said = ["original_value", "cleaned_value", "action_taken"]
-    same = rows.join(audit.select(*AUDIT_KEYS, *said), [*AUDIT_KEYS, *said], "left_semi")
+    same = rows.join(shuffled(audit.select(*AUDIT_KEYS, *said)), [*AUDIT_KEYS, *said], "left_semi")
     news = rows.join(same.select(*AUDIT_KEYS), AUDIT_KEYS, "left_anti")
     return upsert(audit, news, AUDIT_KEYS, [*said, "logged_at"])
 

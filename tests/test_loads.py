@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from panelmill import fixed
 from panelmill.operators import keyed, retention
+from panelmill.operators.validate import verify_fixes
 from panelmill.plans import gates, load, refresh, runlog
 from panelmill.plans.refresh import refresh as run_refresh
 from panelmill.session import scratch_dir, stage
@@ -328,6 +329,30 @@ def test_documented_fixes_are_applied_all_or_none_and_once(spark):
     assert rows(tables.read(load.AUDIT), "raw_record_id", "issue_type", "logged_at") == logged
 
 
+def test_no_table_of_the_panel_is_broadcast_to_apply_fixes(spark):
+    tables, log = table_set(spark)
+    raw = stage(raw_panel(spark, {"life_expectancy": "7.5"}), "raw")
+    load.load_clean(raw, dimension(spark), tables, log, 2000, 2023)
+    clean, audit = tables.read(load.CLEAN), tables.read(load.AUDIT)
+    # Shuffled like a derived table of corrections; its own side is never the one that travels in a left join.
+    fixes = spark.createDataFrame([("AAA", "2000", c, "decimal", "7.5", "75.0") for c in ("life_expectancy", "unknown", None)], FIX)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1g")
+    try:
+        found = load.targets(fixes, clean, raw)
+        checked = verify_fixes(fixes, clean, raw, audit)
+        for df in (found, checked):
+            assert "BroadcastExchange" not in df._jdf.queryExecution().executedPlan().toString()
+        # Only the corrections' own few rows may travel, and the audit log's not.
+        logged = load.relogged(audit, stage(found, "found"))._jdf.queryExecution().executedPlan().toString()
+        assert logged.count("BroadcastExchange") <= 1
+        assert [(r["column_name"], r["sound"]) for r in found.orderBy("column_name").collect()] == [(None, False), ("life_expectancy", True), ("unknown", False)]
+        seen = [(r["column_name"], r["raw_value"], r["cleaned_value"] and float(r["cleaned_value"]), r["passed"]) for r in checked.orderBy("column_name").collect()]
+        assert seen == [(None, None, None, False), ("life_expectancy", "7.5", 7.5, False), ("unknown", None, None, False)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 def test_no_number_is_lost_without_an_audit_row(spark):
     values = ["4" * 24, "4" * 30, "4" * 38, "$" + "4" * 30, "-" + "4" * 30, "0" * 30 + "7", "1,5"]
     years = range(2000, 2000 + len(values))
