@@ -7,11 +7,12 @@ from collections import Counter
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelmill.llm.common import WORD_HASH, Memo, fold, split_words
+from panelmill.llm.common import WORD_HASH, fold, split_words
 from panelmill.session import stage
 
 CLASSES, BUCKETS = 96, 768
@@ -21,6 +22,8 @@ CLUSTERED = 1e-4
 LEAST = 5
 # At most so many words, the most frequent ones, are known to every task; all others are met by joins.
 KNOWN = 1_000_000
+# Words whose places a task remembers before it forgets them all.
+REMEMBERED = 400_000
 ROUNDS, PASSES = 6, 2
 MIXED, BACKED = 0.9, 5.0
 END = 0  # number of the end of a text; its hash is 0, too
@@ -80,10 +83,16 @@ class Numbering:
         """Values by place; buckets are met from the end, as negative places count from there."""
         return np.concatenate([words, [end], buckets[::-1]])
 
-    def place(self, word: bytes) -> int:
-        h = np.int64(WORD_HASH[word] - (1 << 64) if WORD_HASH[word] >> 63 else WORD_HASH[word])
-        at = int(np.searchsorted(self.hash, h))
-        return at if at < len(self.hash) and self.hash[at] == h else -1 - bucket_of(word)
+    def places(self, words: list[bytes]) -> list[int]:
+        """The places of some words, by one search for all of them."""
+        h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), dtype=np.uint64, count=len(words)).view(np.int64)
+        at = np.searchsorted(self.hash, h)
+        known = at < self.end
+        known[known] = self.hash[at[known]] == h[known]
+        out = at.tolist()
+        for i in np.flatnonzero(~known).tolist():
+            out[i] = -1 - bucket_of(words[i])
+        return out
 
 
 def encode(docs: DataFrame, numbering, kind: str) -> DataFrame:
@@ -91,11 +100,17 @@ def encode(docs: DataFrame, numbering, kind: str) -> DataFrame:
 
     def batches(rows):
         names = numbering.value
-        memo, part, row = Memo(names.place), TaskContext.get().partitionId(), 0
+        memo, part, row = {}, TaskContext.get().partitionId(), 0
         for batch in rows:
             ids, rare = [], []
             for text in batch.column(2).to_pylist():
                 words = split_words(text)
+                if new := set(words).difference(memo):
+                    if len(memo) >= REMEMBERED:
+                        memo.clear()
+                        new = set(words)
+                    new = list(new)
+                    memo.update(zip(new, names.places(new), strict=True))
                 places = np.fromiter(map(memo.__getitem__, words), dtype=np.int32, count=len(words))
                 ids.append(np.append(places, np.int32(names.end)).tobytes())
                 rare.append(np.array([WORD_HASH[words[i]] for i in np.flatnonzero(places < 0)], dtype=np.uint64).view(np.int64))

@@ -6,8 +6,10 @@ import random
 import zlib
 
 import numpy as np
+import pandas as pd
+import xxhash
 
-from panelmill.llm import quality
+from panelmill.llm import class_lm, quality
 from panelmill.llm.common import prepare
 
 
@@ -69,3 +71,16 @@ def test_a_very_long_text_has_a_score(spark):
     labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(120)], "doc_id long, quality int")
     got = {r["doc_id"]: r["score"] for r in quality.score(docs, labels).collect()}
     assert len(got) == 121 and all(0 <= s <= 1 for s in got.values())
+
+
+def test_places_are_searched_once_a_text_not_once_a_word(monkeypatch):
+    words = [b"w%d" % k for k in range(500)]
+    hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in words[:200]], dtype=np.uint64).view(np.int64)
+    known = pd.DataFrame({"hash": hashes, "c": np.ones(200, dtype=np.int64), "bucket": np.array([class_lm.bucket_of(w) for w in words[:200]], dtype=np.int32)})
+    names, searches, search = class_lm.Numbering(known, 2.0), [], np.searchsorted
+    monkeypatch.setattr(np, "searchsorted", lambda *a: searches.append(a) or search(*a))
+    got = names.places(words)
+    assert len(searches) == 1 and names.places([]) == []
+    assert [int(names.hash[p]) for p in got[:200]] == hashes.tolist()
+    assert got[200:] == [-1 - class_lm.bucket_of(w) for w in words[200:]]
+    assert class_lm.Numbering(known[:0], 2.0).places(words) == [-1 - class_lm.bucket_of(w) for w in words]
