@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, IntegerType, LongType
 
 from panelmill import fixed
 from panelmill.operators.coverage import grid
@@ -12,6 +13,10 @@ from panelmill.session import stage
 # What can be wrong with a page or one of its rows.
 MALFORMED_PAGE, MALFORMED_ROW = "malformed page", "malformed row"
 BAD_PERIOD, BAD_VALUE = "unreadable period", "unreadable value"
+# Less than any page.
+BEFORE_PAGES = str(-(2**63) - 1)
+# What is read of a row, by one cast for a whole page; it is NULL for what is no object.
+ROW = "struct<indicator: struct<id: string>, countryiso3code: string, date: string, value: variant>"
 
 
 def entries(pages: DataFrame) -> DataFrame:
@@ -23,28 +28,25 @@ def entries(pages: DataFrame) -> DataFrame:
     value that is a number of up to 23 digits before the point; a missing value is no problem.
     """
     parsed = pages.select("page", F.try_parse_json("body").alias("json"), F.col("body").isNotNull().alias("given"))
+    rows = parsed.select("page", "json", "given", F.try_variant_get("json", "$[1]", f"array<{ROW}>").alias("rows"))
+    # Looked at again only where there are no rows.
     second = F.try_variant_get("json", "$[1]", "variant")
-    rows = parsed.select("page", "json", "given", second.alias("second"), F.try_variant_get("json", "$[1]", "array<variant>").alias("rows"))
-    no_list = F.col("second").isNotNull() & ~F.is_variant_null("second") & F.col("rows").isNull()
+    no_list = F.col("rows").isNull() & second.isNotNull() & ~F.is_variant_null(second)
     broken = F.col("given") & (F.col("json").isNull() | no_list)
     found = rows.select("page", broken.alias("broken"), F.posexplode_outer("rows").alias("position", "row"))
-
-    def part(path: str, kind: str = "string"):
-        return F.try_variant_get("row", path, kind)
-
     read = found.select(
         "page",
         "position",
-        part("$.indicator.id").alias("indicator"),
-        part("$.countryiso3code").alias("entity"),
-        part("$.date").alias("_date"),
-        part("$.date").try_cast("int").alias("year"),
-        part("$.value").alias("_value"),
-        part("$.value", fixed.OFFICIAL_DECIMAL).alias("value"),
+        F.col("row.indicator.id").alias("indicator"),
+        F.col("row.countryiso3code").alias("entity"),
+        F.col("row.date").alias("_date"),
+        F.col("row.date").try_cast("int").alias("year"),
+        (F.col("row.value").isNotNull() & ~F.is_variant_null("row.value")).alias("_valued"),
+        F.try_variant_get("row.value", "$", fixed.OFFICIAL_DECIMAL).alias("value"),
         "broken",
-        (F.col("position").isNotNull() & ~F.coalesce(F.schema_of_variant("row").startswith("OBJECT"), F.lit(False))).alias("_odd"),
+        (F.col("position").isNotNull() & F.col("row").isNull()).alias("_odd"),
     )
-    used = (F.coalesce("entity", F.lit("")) != "") & F.col("_value").isNotNull()
+    used = (F.coalesce("entity", F.lit("")) != "") & F.col("_valued")
     undated = F.col("year").isNull() & (F.col("_date").isNotNull() | used)
     problem = (
         F.when(F.col("broken"), MALFORMED_PAGE)
@@ -55,6 +57,14 @@ def entries(pages: DataFrame) -> DataFrame:
     return read.select("page", "position", "indicator", "entity", "year", "value", problem.alias("problem"))
 
 
+def page_order(kind: DataType) -> Column:
+    """Page and position, a missing page first; as one number for whole pages, so that the aggregate hashes instead of sorting."""
+    if not isinstance(kind, (IntegerType, LongType)):
+        return F.struct("page", "position")
+    page = F.coalesce(F.col("page").cast("decimal(20,0)"), F.lit(BEFORE_PAGES).cast("decimal(20,0)"))
+    return page * F.lit(2**31).cast("decimal(10,0)") + F.col("position")
+
+
 def cells(rows: DataFrame) -> DataFrame:
     """(indicator, entity, year, value) of the rows of :func:`entries` without a problem.
 
@@ -63,7 +73,7 @@ def cells(rows: DataFrame) -> DataFrame:
     """
     usable = rows.where("problem IS NULL AND coalesce(entity, '') <> '' AND value IS NOT NULL")
     return usable.groupBy("indicator", "entity", "year").agg(
-        F.max_by("value", F.struct("page", "position")).alias("value")
+        F.max_by("value", page_order(rows.schema["page"].dataType)).alias("value")
     )
 
 

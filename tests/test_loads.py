@@ -266,6 +266,21 @@ def test_flatten_raises_on_the_first_problem(spark):
     assert payload.entries(pages)._jdf.queryExecution().optimizedPlan().toString().count("parse_json") <= 1
 
 
+def test_pages_are_cast_once_and_cells_hashed(spark):
+    values = ["1.5", "true", '"2"', "[1]", "null", '"x"', "1e3"]
+    pages = [(2**62, page(("AAA", 2000, 1), ("AAA", 2000, 2))), (None, page(("AAA", 2000, 9), ("BBB", 2000, 4), ("BBB", 2000, 5))), (-(2**63), page(("BBB", 2000, 3)))]
+    df = stage(spark.createDataFrame(pages, "page bigint, body string"), "pages")
+    got = payload.flatten_pages(df)
+    assert [(e, float(v)) for e, v in rows(got, "entity", "value")] == [("AAA", 2.0), ("BBB", 3.0)]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "schema_of_variant" not in plan
+    odd = payload.entries(spark.createDataFrame([(k, page(("AAA", 2000, v))) for k, v in enumerate(values)], "page int, body string"))
+    seen = [(p, v and float(v)) for _, v, p in rows(odd, "page", "value", "problem")]
+    assert seen == [(None, 1.5), (None, 1.0), (None, 2.0), (payload.BAD_VALUE, None), (None, None), (payload.BAD_VALUE, None), (None, 1000.0)]
+    named = payload.flatten_pages(spark.createDataFrame([("b", page(("AAA", 2000, 1))), ("a", page(("AAA", 2000, 2)))], "page string, body string"))
+    assert float(named.first()["value"]) == 1
+
+
 # --- clean track and maintenance -------------------------------------------------------------
 
 
